@@ -1,0 +1,3 @@
+select cast(hour(event_ts) as int) as hour, cast(sum(cast(amount as decimal(18,2))) as double) as total_amount,
+       count(*) as txn_count
+from bank_transaction group by 1

@@ -1,0 +1,3 @@
+select transaction_type, currency, cast(sum(cast(amount as decimal(18,2))) as double) as total_amount,
+       count(*) as txn_count
+from bank_transaction group by 1, 2
