@@ -27,7 +27,7 @@ def risk_bucket(type_col: str = "transaction_type", amount_col: str = "amount")
 
 
 @F.udf(StringType())
-def risk_bucket_udf(kind: str | None, amount: float | None) -> str:
+def risk_bucket_udf(kind, amount):
     if kind is None or amount is None:
         return "UNKNOWN"
     if amount > CRITICAL_ABOVE:
