@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybank.functions.skew import row_hash
 from tallybank.sinks.tables import write_partitioned
 
 TOO_MANY_FILES = 8
@@ -41,11 +40,13 @@ def compact(
     dates = file_stats(spark, src, column).select(F.col(column).cast(table.schema[column].dataType).alias("_date"))
     numbered = dates.withColumn("_number", F.row_number().over(Window.orderBy("_date")) - 1)
     total = dates.count()
-    part = F.pmod(row_hash(table.columns), F.lit(files_per_date))
+    # Spread by position in the source file, which holds for equal rows too and survives a retry.
+    part = F.pmod(F.xxhash64("_metadata.file_path", "_metadata.row_index"), F.lit(files_per_date))
     placed = (
-        table.join(F.broadcast(numbered), table[column].eqNullSafe(numbered["_date"]))
-        .repartitionById(total * files_per_date, (F.col("_number") * files_per_date + part).cast("int"))
-        .drop("_date", "_number")
+        table.withColumn("_part", part)
+        .join(F.broadcast(numbered), table[column].eqNullSafe(numbered["_date"]))
+        .repartitionById(total * files_per_date, (F.col("_number") * files_per_date + F.col("_part")).cast("int"))
+        .drop("_date", "_number", "_part")
     )
     write_partitioned(placed, dst, [column], max_records)
 

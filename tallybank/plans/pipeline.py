@@ -18,7 +18,7 @@ from tallybank.operators.analytics import finish, partial_totals
 from tallybank.operators.dedup import dedup_latest
 from tallybank.operators.entities import CLEANERS
 from tallybank.operators.joins import enrich
-from tallybank.operators.quality import PIPELINE_RULES, Rules, is_valid, split_quality
+from tallybank.operators.quality import PIPELINE_RULES, Rules, is_valid, with_reasons
 from tallybank.plans.incremental import by_day
 from tallybank.session import scratch_path
 from tallybank.sinks.tables import write_partitioned, write_table
@@ -28,6 +28,7 @@ from tallybank.views import Bank
 
 REPORT = "stage string, rows_in bigint, rows_out bigint, duration_ms bigint"
 ETL_REPORT = "entity string, target string, row_count bigint, duration_ms bigint"
+VALID, REJECTED = "valid", "quarantine"
 SYNTHETIC_NAMES = {
     "customer": "customer_scd2",
     "account": "account",
@@ -72,19 +73,20 @@ def run_pipeline(spark: SparkSession, bank: Bank, cfg: PipelineConfig) -> DataFr
     if cfg.start is not None or cfg.end is not None:
         raw = in_range(raw, cfg.start or dt.date.min, cfg.end or dt.date.max)
 
-    read, kept = Observation(), Observation()
+    # One pass: valid and rejected rows land in different partitions, so later steps read only theirs.
+    read, kept, checked = Observation(), Observation(), Observation()
     unique = counted(dedup_latest(counted(raw, read)), kept)
-    ms = elapsed_ms(lambda: unique.write.mode("overwrite").parquet(staged))
+    judged = unique.withColumn("outcome", F.when(is_valid(rules), VALID).otherwise(REJECTED))
+    judged = judged.observe(checked, F.count_if(F.col("outcome") == VALID).alias("valid"))
+    ms = elapsed_ms(lambda: write_partitioned(judged, staged, ["outcome"]))
     stages.append(("dedup", read.get["rows"], kept.get["rows"], ms))
 
-    staged_rows = read_table(spark, staged)
-    checked = Observation()
-    judged = staged_rows.observe(checked, F.count_if(is_valid(rules)).alias("valid"))
-    _, rejected = split_quality(judged, rules)
+    outcomes = spark.read.schema(judged.schema).parquet(staged)
+    rejected = with_reasons(outcomes.filter(F.col("outcome") == REJECTED).drop("outcome"), rules)
     ms = elapsed_ms(lambda: rejected.write.mode("overwrite").parquet(quarantine))
     stages.append(("quality", kept.get["rows"], checked.get["valid"], ms))
 
-    valid, _ = split_quality(staged_rows, rules)
+    valid = outcomes.filter(F.col("outcome") == VALID).drop("outcome")
     joined = Observation()
     full = counted(enrich(valid, bank.account, bank.product, bank.branch, bank.customer_scd2), joined)
     ms = elapsed_ms(lambda: write_partitioned(by_day(full), enriched))
