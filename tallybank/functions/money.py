@@ -1,26 +1,45 @@
-"""Exact money sums: doubles are summed as decimals, so the result never depends on row order."""
+"""Exact money sums that do not depend on row order.
+
+Amounts are doubles with two decimals. They are summed as whole cents in two 64-bit parts, which stay
+in generated code and cannot overflow below nine trillion rows per group; the parts meet in a decimal.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+PART = 1_000_000
+CENTS = 100
+
 
-def money(column: str | Column) -> Column:
+def cents(column: str | Column) -> Column:
+    """Whole cents of an amount, the nearest ones where it has more decimals."""
     column = F.col(column) if isinstance(column, str) else column
-    return column.cast("decimal(18,2)")
+    return F.rint(column * CENTS).cast("bigint")
+
+
+def exact_sum(column: str | Column, window=None) -> Column:
+    """Total cents as decimal, of a group or over a window; such totals can be summed again."""
+    whole = cents(column)
+    # The quotient is exact for amounts below 90 trillion; the remainder has the sign of the amount.
+    rest = whole % PART
+    sums = [F.sum(((whole - rest) / PART).cast("bigint")), F.sum(rest)]
+    high, low = sums if window is None else [part.over(window) for part in sums]
+    return high.cast("decimal(20,0)") * F.lit(PART) + low.cast("decimal(20,0)")
 
 
-def exact_sum(column: str | Column) -> Column:
-    """Decimal sum, for results that are added up again later."""
-    return F.sum(money(column))
+def in_currency(total: str | Column) -> Column:
+    """Total cents as a double amount."""
+    total = F.col(total) if isinstance(total, str) else total
+    return total.cast("double") / CENTS
 
 
 def money_sum(column: str | Column) -> Column:
-    """Decimal sum returned as double."""
-    return exact_sum(column).cast("double")
+    """Exact sum of amounts, as double."""
+    return in_currency(exact_sum(column))
 
 
 def mean(total: str, count: str) -> Column:
-    """total / count as double; NULL when nothing was counted."""
-    return F.try_divide(F.col(total).cast("double"), F.col(count))
+    """Total cents over count, as a double amount; NULL when nothing was counted."""
+    return F.when(F.col(count) > 0, in_currency(total) / F.col(count))

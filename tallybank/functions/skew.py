@@ -45,6 +45,11 @@ def mark_hot(df: DataFrame, hot: DataFrame, key: str, flag: str) -> DataFrame:
     )
 
 
+def plain_key(column: str) -> dict[str, Column]:
+    """A nullable whole-number key as two columns without NULLs, which group, sort and join like one key."""
+    return {"_key": F.coalesce(F.col(column), F.lit(0)), "_no_key": F.col(column).isNull()}
+
+
 def row_hash(columns: Sequence[str | Column]) -> Column:
     """A hash of the row's own values, so a retried task assigns the same salt."""
     return F.xxhash64(*columns)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybank.functions.money import exact_sum, mean
+from tallybank.functions.money import exact_sum, in_currency, mean
 from tallybank.functions.skew import key_counts
 from tallybank.operators.joins import account_homes, branch_names, enrich_product, fill_unknown
 from tallybank.operators.quality import RULES, passes
@@ -37,13 +37,13 @@ def roll_up(df: DataFrame, *keys) -> DataFrame:
 
 
 def finish(df: DataFrame, *columns: str, total: str = "total_amount", count: str = "txn_count") -> DataFrame:
-    """Keep the named columns with the total as double and the row count."""
-    return df.select(*columns, F.col("_amount").cast("double").alias(total), F.col("_rows").alias(count))
+    """Keep the named columns with the total as an amount and the row count."""
+    return df.select(*columns, in_currency("_amount").alias(total), F.col("_rows").alias(count))
 
 
 def average():
     """Average over the rows that have an amount; NULL when there are none."""
-    return F.when(F.col("_amounts") > 0, mean("_amount", "_amounts"))
+    return mean("_amount", "_amounts")
 
 
 def valid_accounts(txn: DataFrame) -> DataFrame:

@@ -12,11 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybank.functions.money import exact_sum, mean, money
-from tallybank.functions.skew import hot_keys, mark_hot
+from tallybank.functions.money import exact_sum, in_currency, mean
+from tallybank.functions.skew import hot_keys, mark_hot, plain_key
 
 SLOT_SECONDS = 60
 BUCKET_SECONDS = 3600
+NO_TIME = -(1 << 40)
 BALANCE_COLUMNS = ["account_id", "transaction_id", "event_date", "amount", "running_balance", "txn_rank"]
 
 
@@ -46,41 +47,46 @@ def running_balance(df: DataFrame, frame: str = "range", skew_safe: bool = True)
         return rows.withColumns(
             {
                 "txn_rank": F.row_number().over(account.orderBy(*ranking)),
-                "running_balance": _cumulative(account.orderBy(*ordering), frame).cast("double"),
+                "running_balance": in_currency(_cumulative(account.orderBy(*ordering), frame)),
             }
         ).select(*BALANCE_COLUMNS)
 
-    # NULL slots for ordinary accounts keep them whole; a hot account gets one group per minute.
+    # An ordinary account is one slot; a hot one gets a slot per minute. Slots are grouped by their hash
+    # first: it tells sorted rows apart at once, where a hot account's key would tie.
     hot = F.col("_hot")
-    slot = F.struct(
-        "account_id",
-        F.when(hot, F.col("event_date")).alias("slot_date"),
-        F.when(hot, F.floor(epoch_second() / SLOT_SECONDS)).alias("slot_minute"),
+    minute = F.floor(epoch_second() / SLOT_SECONDS)
+    slotted = (
+        mark_hot(rows, hot_keys(rows, "account_id"), "account_id", "_hot")
+        .withColumns(
+            {
+                **plain_key("account_id"),
+                "_date": F.when(hot, F.coalesce(day_number(), F.lit(NO_TIME))).otherwise(0),
+                "_minute": F.when(hot, F.coalesce(minute, F.lit(NO_TIME))).otherwise(0),
+            }
+        )
+        .withColumn("_slot", F.xxhash64("_key", "_no_key", "_date", "_minute"))
     )
-    slotted = mark_hot(rows, hot_keys(rows, "account_id"), "account_id", "_hot").withColumn("_slot", slot)
-
-    within = Window.partitionBy("_slot")
+    slot = ["_slot", "_key", "_no_key", "_date", "_minute"]
+    within = Window.partitionBy(*slot)
     local = slotted.withColumn("_local_rank", F.row_number().over(within.orderBy(*ranking))).withColumn(
         "_local", _cumulative(within.orderBy(*ordering), frame)
     )
-    totals = slotted.filter(hot).groupBy("_slot").agg(
+    totals = slotted.filter(hot).groupBy(*slot).agg(
         exact_sum("amount").alias("_amount"), F.count(F.lit(1)).alias("_rows")
     )
     earlier = (
-        Window.partitionBy("_slot.account_id")
-        .orderBy("_slot.slot_date", "_slot.slot_minute")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_key", "_no_key").orderBy("_date", "_minute").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = totals.select(
-        "_slot", F.sum("_amount").over(earlier).alias("_before"), F.sum("_rows").over(earlier).alias("_rows_before")
+        *slot, F.sum("_amount").over(earlier).alias("_before"), F.sum("_rows").over(earlier).alias("_rows_before")
     )
     # NULL only when neither part has seen an amount.
     balance = F.coalesce(F.col("_before") + F.col("_local"), F.col("_before"), F.col("_local"))
     return (
-        local.join(offsets, "_slot", "left")
+        local.join(offsets, slot, "left")
         .withColumns(
             {
-                "running_balance": balance.cast("double"),
+                "running_balance": in_currency(balance),
                 "txn_rank": (F.col("_local_rank") + F.coalesce("_rows_before", F.lit(0))).cast("int"),
             }
         )
@@ -90,7 +96,7 @@ def running_balance(df: DataFrame, frame: str = "range", skew_safe: bool = True)
 
 def _cumulative(window: Window, frame: str) -> Column:
     between = window.rowsBetween if frame == "rows" else window.rangeBetween
-    return F.sum(money("amount")).over(between(Window.unboundedPreceding, Window.currentRow))
+    return exact_sum("amount", between(Window.unboundedPreceding, Window.currentRow))
 
 
 def velocity(
@@ -113,16 +119,16 @@ def velocity(
         near = Window.partitionBy("account_id").orderBy(epoch_second()).rangeBetween(-before, after)
         return _flagged(rows.withColumn("velocity_count", F.count(F.lit(1)).over(near)), threshold)
 
-    rows = rows.withColumn("_moment", F.struct("account_id", epoch_second().alias("second")))
-    counts = rows.groupBy("_moment").agg(F.count(F.lit(1)).alias("_rows"))
-    near_counts = _near_counts(counts, before, after)
-    return _flagged(rows.join(near_counts, "_moment", "left").drop("_moment"), threshold)
+    rows = rows.withColumns({**plain_key("account_id"), "_second": epoch_second()})
+    moment = ["_key", "_no_key", "_second"]
+    counts = rows.groupBy(*moment).agg(F.count(F.lit(1)).alias("_rows"))
+    return _flagged(rows.join(_near_counts(counts, before, after), moment, "left"), threshold)
 
 
 def _near_counts(counts: DataFrame, before: int, after: int) -> DataFrame:
     """Rows around each account second. Time is cut into buckets; only edge seconds are copied to a neighbour."""
     width = max(BUCKET_SECONDS, before, after)
-    second = F.col("_moment.second")
+    second = F.col("_second")
 
     def bucket(at: Column) -> Column:
         return F.floor(at / width)
@@ -130,13 +136,11 @@ def _near_counts(counts: DataFrame, before: int, after: int) -> DataFrame:
     spread = counts.withColumn(
         "_bucket", F.explode(F.sequence(bucket(second - after), bucket(second + before)))
     )
-    near = (
-        Window.partitionBy(F.col("_moment.account_id"), F.col("_bucket")).orderBy(second).rangeBetween(-before, after)
-    )
+    near = Window.partitionBy("_bucket", "_key", "_no_key").orderBy(second).rangeBetween(-before, after)
     return (
         spread.withColumn("velocity_count", F.sum("_rows").over(near))
         .filter(F.col("_bucket") == bucket(second))
-        .select("_moment", "velocity_count")
+        .drop("_bucket", "_rows")
     )
 
 
@@ -177,7 +181,7 @@ def rolling_avg(df: DataFrame, days: int = 7) -> DataFrame:
             "account_id",
             "event_date",
             "rolling_count",
-            F.when(F.col("rolling_count") > 0, mean("_total", "rolling_count")).alias("rolling_avg"),
+            mean("_total", "rolling_count").alias("rolling_avg"),
         )
     )
 
@@ -192,8 +196,8 @@ def daily_running_balance(df: DataFrame) -> DataFrame:
     return daily_amounts(df).select(
         "account_id",
         "event_date",
-        F.col("_amount").cast("double").alias("daily_total"),
-        F.sum("_amount").over(until).cast("double").alias("running_balance"),
+        in_currency("_amount").alias("daily_total"),
+        in_currency(F.sum("_amount").over(until)).alias("running_balance"),
     )
 
 
@@ -202,36 +206,32 @@ def amount_spike(df: DataFrame, days: int = 7, factor: float = 3.0) -> DataFrame
 
     Earlier means an earlier second; the first row of a window has no average and is not flagged.
     """
-    rows = df.select("transaction_id", "account_id", "event_date", "event_ts", "amount").withColumn(
-        "_moment", F.struct("account_id", "event_date", epoch_second().alias("second"))
-    )
-    moments = rows.groupBy("_moment").agg(
-        exact_sum("amount").alias("_amount"), F.count("amount").alias("_amounts")
-    )
-    day = F.struct("_moment.account_id", "_moment.event_date")
-    earlier_today = (
-        Window.partitionBy("_day").orderBy("_moment.second").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    today = moments.withColumn("_day", day).select(
-        "_moment",
-        "_day",
+    rows = df.select("transaction_id", "account_id", "event_date", "event_ts", "amount").withColumns(
+        {**plain_key("account_id"), "_day": day_number(), "_second": epoch_second()}
+    )
+    day = ["_key", "_no_key", "_day"]
+    moment = [*day, "_second"]
+    moments = rows.groupBy(*moment).agg(exact_sum("amount").alias("_amount"), F.count("amount").alias("_amounts"))
+    earlier_today = Window.partitionBy(*day).orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
+    today = moments.select(
+        *moment,
         F.sum("_amount").over(earlier_today).alias("_today_amount"),
         F.sum("_amounts").over(earlier_today).alias("_today_amounts"),
     )
-    days_before = Window.partitionBy("account_id").orderBy(day_number()).rangeBetween(-(days - 1), -1)
-    past = daily_amounts(df).select(
-        F.struct("account_id", "event_date").alias("_day"),
+    days_before = Window.partitionBy("_key", "_no_key").orderBy("_day").rangeBetween(-(days - 1), -1)
+    past = rows.groupBy(*day).agg(exact_sum("amount").alias("_amount"), F.count("amount").alias("_amounts")).select(
+        *day,
         F.sum("_amount").over(days_before).alias("_past_amount"),
         F.sum("_amounts").over(days_before).alias("_past_amounts"),
     )
     zero = F.lit(0)
-    baseline = today.join(past, "_day").select(
-        "_moment",
+    baseline = today.join(past, day).select(
+        *moment,
         (F.coalesce("_today_amount", zero) + F.coalesce("_past_amount", zero)).alias("_total"),
         (F.coalesce("_today_amounts", zero) + F.coalesce("_past_amounts", zero)).alias("_count"),
     )
-    average = F.when(F.col("_count") > 0, mean("_total", "_count"))
-    return rows.join(baseline, "_moment").select(
+    average = mean("_total", "_count")
+    return rows.join(baseline, moment, "left").select(
         "transaction_id",
         "account_id",
         "event_ts",
