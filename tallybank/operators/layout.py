@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallybank.sinks.tables import write_partitioned
 
 TOO_MANY_FILES = 8
+MAX_DATES = 100_000
 
 
 def file_stats(spark: SparkSession, path: str, column: str = "event_date", limit: int = TOO_MANY_FILES) -> DataFrame:
@@ -28,25 +29,31 @@ def compact(
     dst: str,
     files_per_date: int = 4,
     column: str = "event_date",
+    target_bytes: int | None = None,
     max_records: int | None = None,
 ) -> None:
     """Rewrite a partitioned table with exactly `files_per_date` files per date.
 
-    Hash partitioning would put several dates into one task; here each (date, file) pair gets its own
-    partition id. `max_records` splits a file further where a date is too large for so few.
+    With `target_bytes` the number of files of a date follows its size instead, so that one date with a
+    large share of the table is written by as many tasks. Hash partitioning would put several dates into
+    one task; here each (date, file) pair gets its own partition id. `max_records` caps the rows per file.
     """
     table = spark.read.parquet(src)
+    files = F.lit(files_per_date) if target_bytes is None else F.ceil(F.col("total_bytes") / target_bytes)
     # One row per date, from the file listing: small however large the table is.
-    dates = file_stats(spark, src, column).select(F.col(column).cast(table.schema[column].dataType).alias("_date"))
-    numbered = dates.withColumn("_number", F.row_number().over(Window.orderBy("_date")) - 1)
-    total = dates.count()
+    dates = file_stats(spark, src, column).select(
+        F.col(column).cast(table.schema[column].dataType).alias("_date"), files.cast("int").alias("_files")
+    )
+    earlier = Window.orderBy("_date").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = dates.withColumn("_first", F.coalesce(F.sum("_files").over(earlier), F.lit(0)))
+    count, total = dates.agg(F.count(F.lit(1)), F.sum("_files")).first()
     # Spread by position in the source file, which holds for equal rows too and survives a retry.
-    part = F.pmod(F.xxhash64("_metadata.file_path", "_metadata.row_index"), F.lit(files_per_date))
+    position = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     placed = (
-        table.withColumn("_part", part)
-        .join(F.broadcast(numbered), table[column].eqNullSafe(numbered["_date"]))
-        .repartitionById(total * files_per_date, (F.col("_number") * files_per_date + F.col("_part")).cast("int"))
-        .drop("_date", "_number", "_part")
+        table.withColumn("_position", position)
+        .join(F.broadcast(numbered) if count <= MAX_DATES else numbered, table[column].eqNullSafe(numbered["_date"]))
+        .repartitionById(total, (F.col("_first") + F.pmod("_position", "_files")).cast("int"))
+        .drop("_date", "_files", "_first", "_position")
     )
     write_partitioned(placed, dst, [column], max_records)
 

@@ -19,7 +19,6 @@ from tallybank.views import Bank
 # Parameters of the registered queries.
 RANGE = ("2024-01-05", "2024-01-11")
 WINDOW = ("2024-01-12", "2024-01-15")
-PIPELINE_STATUSES = None
 CONFIG = {
     "transformations": {
         "customer": {
@@ -117,7 +116,7 @@ def daily_spend_window(bank: Bank) -> DataFrame:
     return analytics.daily_spend(dedup.dedup_latest(window, ["transaction_id", "event_date"]), bank.account)
 
 
-def pipeline_daily_spend(bank: Bank) -> DataFrame:
+def end_to_end_daily_spend(bank: Bank) -> DataFrame:
     """The daily aggregate of the end-to-end pipeline: dedup, reduced quality rules, spend."""
     valid, _ = quality.split_quality(dedup.dedup_latest(bank.transaction), quality.PIPELINE_RULES)
     owners = bank.account.select("account_id", "customer_id")
@@ -270,7 +269,7 @@ BATCH: dict[str, BankQuery] = {
     "age_volume_corr": analytics.age_volume_corr,
     # incremental and production jobs
     "daily_spend_window": daily_spend_window,
-    "pipeline_daily_spend": pipeline_daily_spend,
+    "end_to_end_daily_spend": end_to_end_daily_spend,
     "scd2_upsert": scd2_upsert,
     # batch twin of the hourly stream
     "hourly_totals": hourly_totals,

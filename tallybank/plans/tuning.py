@@ -37,8 +37,7 @@ def timed(name: str, times: dict[str, float] | None = None) -> Iterator[None]:
         seconds = time.perf_counter() - start
         if times is not None:
             times[name] = seconds
-        minutes, rest = divmod(seconds, 60)
-        print(f"Elapsed time for {name}: {int(minutes)}m {int(rest)}s {int(rest % 1 * 1000)}ms")
+        print(f"{name} took {seconds:.3f} s")
 
 
 def run_fully(df: DataFrame) -> float:

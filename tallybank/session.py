@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -46,9 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tallybank-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return local_dir(spark.sparkContext.applicationId)
+
+
+@cache
+def local_dir(application: str) -> str:
+    """One temporary folder per local application."""
+    return tempfile.mkdtemp(prefix=f"tallybank-{application}-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

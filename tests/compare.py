@@ -31,7 +31,7 @@ def oracle_connection(base: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+        return "nan" if math.isnan(value) else value
     return value
 
 
