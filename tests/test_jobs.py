@@ -179,10 +179,22 @@ def test_plan_report(bank):
 def test_state_totals_shuffle_target(spark, bank):
     from tallybank.session import session_conf
 
+    assert tuning.plan_report(BATCH["state_totals"](bank))["shuffles"] <= 2
     with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         report = tuning.plan_report(BATCH["state_totals"](bank))
-    # One shuffle of the pre-aggregated fact, one of the account table, and those of the small aggregates.
-    assert report["shuffles"] <= 4 and report["joins"]["BroadcastHashJoin"] == 1
+    assert report["shuffles"] == 3 and report["joins"] == {"SortMergeJoin": 1, "BroadcastHashJoin": 1}
+
+
+def test_one_shuffle_of_the_fact(spark, bank):
+    """Row-level joins: one exchange of the fact, one per dimension, one for the hot-key counts."""
+    from tallybank.session import session_conf
+
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = BATCH["scd2_point_in_time"](bank)
+        assert tuning.plan_report(plan)["shuffles"] == 5
+        wide = BATCH["enriched_transactions"](bank).select("*")._jdf.queryExecution().executedPlan().toString()
+    facts = [line for line in wide.splitlines() if "Exchange hashpartitioning(account_id" in line]
+    assert len([line for line in facts if "_salt" in line]) >= 1
 
 
 def test_run_configs_agree(spark, bank):
