@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallybank.functions.money import exact_sum, in_currency, mean
 from tallybank.functions.skew import key_counts
 from tallybank.operators.joins import account_homes, branch_names, enrich_product, fill_unknown
-from tallybank.operators.quality import RULES, passes
+from tallybank.operators.quality import RULES
 from tallybank.views import Bank
 
 # Partial results that can be summed again: amount, rows, and rows with an amount.
@@ -52,7 +52,7 @@ def valid_accounts(txn: DataFrame) -> DataFrame:
 
 def real_amounts(txn: DataFrame) -> DataFrame:
     """Rows whose amount is neither missing nor a sentinel."""
-    return txn.filter(passes(RULES["failed_amount"]))
+    return txn.filter(RULES["failed_amount"])
 
 
 def revenue_rows(txn: DataFrame) -> DataFrame:

@@ -39,10 +39,13 @@ def passes(condition: str) -> Column:
 
 
 def is_valid(rules: Rules = RULES) -> Column:
-    valid = F.lit(True)
-    for condition in rules.values():
-        valid = valid & passes(condition)
-    return valid
+    """True or false; to only keep valid rows, filter on `conditions`, which Spark can push into the scan."""
+    return F.coalesce(conditions(rules), F.lit(False))
+
+
+def conditions(rules: Rules = RULES) -> Column:
+    """All rules as one condition, not true where a value is missing."""
+    return F.expr(" and ".join(f"({rule})" for rule in rules.values()))
 
 
 def reasons(rules: Rules = RULES) -> Column:
@@ -56,7 +59,7 @@ def with_reasons(df: DataFrame, rules: Rules = RULES) -> DataFrame:
 
 def split_quality(df: DataFrame, rules: Rules = RULES) -> tuple[DataFrame, DataFrame]:
     """Valid rows as they are, and quarantined rows with their reasons."""
-    return df.filter(is_valid(rules)), with_reasons(df.filter(~is_valid(rules)), rules)
+    return df.filter(conditions(rules)), with_reasons(df.filter(~is_valid(rules)), rules)
 
 
 def failures(condition: str) -> Column:

@@ -63,4 +63,4 @@ def entity_of(path: str) -> str:
     for entity in ENTITIES:
         if last.startswith(entity):
             return entity
-    raise ValueError(f"cannot tell the entity of {path!r}; its last segment must start with one of {', '.join(ENTITIES)}")
+    raise ValueError(f"the last segment of {path!r} must start with one of {', '.join(ENTITIES)}")

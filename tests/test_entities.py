@@ -96,7 +96,8 @@ def test_audit_column_defaults_to_today(spark):
 
 
 def test_config_order_and_missing_parts(spark, tmp_path):
-    df = spark.createDataFrame([("a", "b", "Low", 1)], "first_name string, last_name string, risk_tier string, version int")
+    layout = "first_name string, last_name string, risk_tier string, version int"
+    df = spark.createDataFrame([("a", "b", "Low", 1)], layout)
     config = {
         "transformations": {
             "customer": {

@@ -65,6 +65,17 @@ def test_incremental_load(spark, bank, stored, tmp_path):
     assert incremental.read_watermark(spark, control, cold) == last
 
 
+def test_daily_loads_equal_one_full_load(spark, bank, tmp_path):
+    """Rows arrive by ingest date, up to three days late; a load after each day ends at the full result."""
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    arriving = in_range(bank.transaction, "2024-01-01", "2024-01-06")
+    for day in range(1, 10):
+        today = arriving.filter(F.col("ingest_date") == F.lit(dt.date(2024, 1, day)))
+        today.write.mode("append").partitionBy("event_date").parquet(src)
+        incremental.incremental_load(spark, src, dst, dt.date(2024, 1, day))
+    same_rows(read_table(spark, dst), dedup_latest(arriving, KEYS))
+
+
 def test_reprocess_window(spark, bank, tmp_path):
     src, dst = str(tmp_path / "src"), "daily_spend_test"
     write_partitioned(bank.transaction, src)
@@ -242,7 +253,9 @@ def test_timed(capsys):
     assert "step took 0.0" in capsys.readouterr().out and times["step"] >= 0
 
 
-CFG = generator.GenConfig(num_transactions=20000, num_customers=2000, num_accounts=2000, num_products=500, num_branches=50)
+CFG = generator.GenConfig(
+    num_transactions=20000, num_customers=2000, num_accounts=2000, num_products=500, num_branches=50
+)
 
 
 def share(df, condition):
@@ -277,9 +290,14 @@ def test_generator_tables(spark, tmp_path):
 
 
 def test_generator_does_not_depend_on_partitioning(spark):
-    one = generator.gen_transaction(spark, CFG).filter("transaction_id < 500")
-    again = generator.gen_transaction(spark, CFG).repartition(7).filter("transaction_id < 500")
-    same_rows(one, again)
+    from dataclasses import replace
+
+    def generated(tasks):
+        df = generator.gen_transaction(spark, replace(CFG, partitions=tasks))
+        assert df.rdd.getNumPartitions() == tasks
+        return rows(df.filter("transaction_id < 2000"))
+
+    assert generated(1) == generated(7)
 
 
 def test_zipf_share_of_the_first_id(spark):

@@ -73,6 +73,25 @@ def test_partitioned_write_and_pruning(spark, bank, tmp_path):
     same_rows(window, files.in_range(bank.transaction, "2024-01-05", "2024-01-06"))
 
 
+def test_filters_and_columns_reach_the_scan(spark, bank, tmp_path):
+    from tallybank.operators import analytics, quality
+
+    path = str(tmp_path / "t")
+    tables.write_partitioned(bank.transaction, path)
+    stored = files.read_table(spark, path)
+
+    def scan(df):
+        with session_conf(spark, {"spark.sql.maxMetadataStringLength": 2000}):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+        return next(line for line in plan.splitlines() if "FileScan" in line)
+
+    spend = scan(analytics.totals_by(analytics.revenue_rows(stored), ["currency"]))
+    assert "EqualTo(status,Approved)" in spend and "Not(EqualTo(amount,-999999.99))" in spend
+    assert "ReadSchema: struct<amount:double,currency:string,status:string>" in spend
+    valid = scan(quality.split_quality(stored)[0])
+    assert "GreaterThan(account_id,0)" in valid and "Not(EqualTo(currency,XXX))" in valid
+
+
 def test_file_size_cap(spark, bank, tmp_path):
     path = str(tmp_path / "t")
     tables.write_partitioned(bank.transaction.coalesce(1), path, max_records=10)
