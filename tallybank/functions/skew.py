@@ -23,11 +23,12 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
 
 
-def hottest(counts: DataFrame, key: str, min_rows: int = HOT_ROWS, top: int = TOP_KEYS) -> DataFrame:
-    """The keys of a `key, key_rows` frame to treat as hot: at most `top` of them."""
-    return (
-        counts.filter(F.col("key_rows") >= min_rows).orderBy(F.desc("key_rows"), F.col(key)).limit(top)
-    )
+def hottest(
+    counts: DataFrame, key: str | Sequence[str], min_rows: int = HOT_ROWS, top: int = TOP_KEYS
+) -> DataFrame:
+    """The keys of a frame with `key_rows` to treat as hot: at most `top` of them."""
+    keys = [key] if isinstance(key, str) else key
+    return counts.filter(F.col("key_rows") >= min_rows).orderBy(F.desc("key_rows"), *keys).limit(top)
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, top: int = TOP_KEYS) -> DataFrame:

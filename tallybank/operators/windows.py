@@ -13,11 +13,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybank.functions.money import exact_sum, in_currency, mean
-from tallybank.functions.skew import hot_keys, mark_hot, plain_key
+from tallybank.functions.skew import hot_keys, hottest, mark_hot, plain_key
 
 SLOT_SECONDS = 60
+BUSY_ROWS = 1_000_000
+BLOCK_IDS = 1_000_000
 BUCKET_SECONDS = 3600
-NO_TIME = -(1 << 40)
+NO_VALUE = -(1 << 62)
+MINUTE = ["_key", "_no_key", "_date", "_minute"]
 BALANCE_COLUMNS = ["account_id", "transaction_id", "event_date", "amount", "running_balance", "txn_rank"]
 
 
@@ -51,35 +54,28 @@ def running_balance(df: DataFrame, frame: str = "range", skew_safe: bool = True)
             }
         ).select(*BALANCE_COLUMNS)
 
-    # An ordinary account is one slot; a hot one gets a slot per minute. Slots are grouped by their hash
-    # first: it tells sorted rows apart at once, where a hot account's key would tie.
-    hot = F.col("_hot")
-    minute = F.floor(epoch_second() / SLOT_SECONDS)
-    slotted = (
-        mark_hot(rows, hot_keys(rows, "account_id"), "account_id", "_hot")
-        .withColumns(
-            {
-                **plain_key("account_id"),
-                "_date": F.when(hot, F.coalesce(day_number(), F.lit(NO_TIME))).otherwise(0),
-                "_minute": F.when(hot, F.coalesce(minute, F.lit(NO_TIME))).otherwise(0),
-            }
-        )
-        .withColumn("_slot", F.xxhash64("_key", "_no_key", "_date", "_minute"))
-    )
-    slot = ["_slot", "_key", "_no_key", "_date", "_minute"]
+    slotted = cut_slots(rows)
+    slot = ["_slot", *MINUTE, "_moment", "_block"]
     within = Window.partitionBy(*slot)
     local = slotted.withColumn("_local_rank", F.row_number().over(within.orderBy(*ranking))).withColumn(
         "_local", _cumulative(within.orderBy(*ordering), frame)
     )
-    totals = slotted.filter(hot).groupBy(*slot).agg(
+
+    totals = slotted.filter("_hot").groupBy(*slot, "_busy").agg(
         exact_sum("amount").alias("_amount"), F.count(F.lit(1)).alias("_rows")
     )
-    earlier = (
-        Window.partitionBy("_key", "_no_key").orderBy("_date", "_minute").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = totals.select(
-        *slot, F.sum("_amount").over(earlier).alias("_before"), F.sum("_rows").over(earlier).alias("_rows_before")
-    )
+    account = Window.partitionBy("_key", "_no_key")
+    in_order = account.orderBy("_date", "_minute", "_moment", "_block")
+    before = F.sum("_amount").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    rows_before = F.sum("_rows").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    if frame == "range":
+        # Rows of one moment share a total, also across its blocks: take it from the slots alone.
+        moments = account.orderBy("_date", "_minute", "_moment")
+        through = F.sum("_amount").over(moments.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        before = F.when(F.col("_busy"), through).otherwise(before)
+        local = local.withColumn("_local", F.when(~F.col("_busy"), F.col("_local")))
+    offsets = totals.select(*slot, before.alias("_before"), rows_before.alias("_rows_before"))
+
     # NULL only when neither part has seen an amount.
     balance = F.coalesce(F.col("_before") + F.col("_local"), F.col("_before"), F.col("_local"))
     return (
@@ -94,6 +90,41 @@ def running_balance(df: DataFrame, frame: str = "range", skew_safe: bool = True)
     )
 
 
+def cut_slots(rows: DataFrame) -> DataFrame:
+    """Cut the rows of hot accounts into slots that keep their time order and are small enough for one task.
+
+    An ordinary account is one slot. A hot one gets a slot per minute, and a busy minute one per moment and
+    block of transaction ids. Slots are grouped by their hash first: it tells sorted rows apart at once,
+    where a hot account's key would tie.
+    """
+    hot, busy = F.col("_hot"), F.col("_busy")
+
+    def when_known(condition: Column, value: Column) -> Column:
+        return F.when(condition, F.coalesce(value, F.lit(NO_VALUE))).otherwise(0)
+
+    by_minute = mark_hot(rows, hot_keys(rows, "account_id"), "account_id", "_hot").withColumns(
+        {
+            **plain_key("account_id"),
+            "_date": when_known(hot, day_number()),
+            "_minute": when_known(hot, F.floor(epoch_second() / SLOT_SECONDS)),
+        }
+    )
+    minute_rows = by_minute.filter(hot).groupBy(*MINUTE).agg(F.count(F.lit(1)).alias("key_rows"))
+    busiest = hottest(minute_rows, MINUTE, BUSY_ROWS).select(*MINUTE, F.lit(True).alias("_listed"))
+    return (
+        by_minute.join(F.broadcast(busiest), MINUTE, "left")
+        .withColumn("_busy", F.coalesce(F.col("_listed"), F.lit(False)))
+        .withColumns(
+            {
+                "_moment": when_known(busy, F.unix_micros("event_ts")),
+                "_block": when_known(busy, F.floor(F.col("transaction_id") / BLOCK_IDS)),
+            }
+        )
+        .withColumn("_slot", F.xxhash64(*MINUTE, "_moment", "_block"))
+        .drop("_listed")
+    )
+
+
 def _cumulative(window: Window, frame: str) -> Column:
     between = window.rowsBetween if frame == "rows" else window.rangeBetween
     return exact_sum("amount", between(Window.unboundedPreceding, Window.currentRow))

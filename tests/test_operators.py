@@ -165,13 +165,34 @@ def test_running_balance_ties(spark):
 
 
 @pytest.mark.parametrize("frame", ["range", "rows"])
-def test_running_balance_skew_safe_equals_plain(bank, frame, monkeypatch):
+@pytest.mark.parametrize("busy_rows", [3, 1_000_000])
+def test_running_balance_skew_safe_equals_plain(bank, frame, busy_rows, monkeypatch):
     many_hot = windows.hot_keys
     monkeypatch.setattr(windows, "hot_keys", lambda df, key: many_hot(df, key, min_rows=2, top=10))
+    monkeypatch.setattr(windows, "BUSY_ROWS", busy_rows)
+    monkeypatch.setattr(windows, "BLOCK_IDS", 2)
     safe = windows.running_balance(bank.transaction, frame)
     same_rows(safe, windows.running_balance(bank.transaction, frame, skew_safe=False))
 
 
+@pytest.mark.parametrize("frame", ["range", "rows"])
+def test_running_balance_of_one_busy_moment(spark, frame, monkeypatch):
+    """Most rows of one account at one moment, some without time, id or amount."""
+    many_hot = windows.hot_keys
+    monkeypatch.setattr(windows, "hot_keys", lambda df, key: many_hot(df, key, min_rows=2, top=10))
+    monkeypatch.setattr(windows, "BUSY_ROWS", 5)
+    monkeypatch.setattr(windows, "BLOCK_IDS", 4)
+    cases = [dict(transaction_id=i, amount=float(i), event_ts="2024-01-05 00:00:00") for i in range(1, 30)]
+    cases += [dict(transaction_id=i, amount=1.0, event_ts=f"2024-01-05 00:00:{i % 60:02}") for i in range(30, 75)]
+    cases += [dict(transaction_id=90, event_ts=None, event_date="2024-01-05", ingest_date="2024-01-05")]
+    cases += [dict(transaction_id=None, amount=None), dict(transaction_id=91, account_id=None)]
+    cases += [dict(transaction_id=i, account_id=None, event_ts="2024-01-06 00:00:00") for i in range(100, 110)]
+    df = txn(spark, *cases)
+    safe = windows.running_balance(df, frame)
+    assert windows.cut_slots(df).filter("_busy").count() > 40
+    same_rows(safe, windows.running_balance(df, frame, skew_safe=False))
+
+
 @pytest.mark.parametrize("bounds", [(120, 120), (119, 0), (5000, 5000)])
 def test_velocity_skew_safe_equals_plain(bank, bounds):
     options = dict(before=bounds[0], after=bounds[1], statuses=None)
