@@ -36,14 +36,10 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, top: int = TOP_K
     return hottest(key_counts(df, key), key, min_rows, top)
 
 
-def mark_hot(df: DataFrame, hot: DataFrame, key: str, flag: str) -> DataFrame:
-    """Add a boolean column telling hot-key rows apart; NULL keys may be hot too."""
-    listed = F.broadcast(hot.select(F.col(key).alias("_hot_key"), F.lit(True).alias("_listed")))
-    return (
-        df.join(listed, df[key].eqNullSafe(listed["_hot_key"]), "left")
-        .withColumn(flag, F.coalesce(F.col("_listed"), F.lit(False)))
-        .drop("_hot_key", "_listed")
-    )
+def mark_hot(df: DataFrame, hot: DataFrame, key: str, rows: str) -> DataFrame:
+    """Add the row count of hot keys, NULL for all others; a NULL key may be hot too."""
+    listed = F.broadcast(hot.select(F.col(key).alias("_hot_key"), F.col("key_rows").alias(rows)))
+    return df.join(listed, df[key].eqNullSafe(listed["_hot_key"]), "left").drop("_hot_key")
 
 
 def plain_key(column: str) -> dict[str, Column]:

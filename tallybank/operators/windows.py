@@ -28,6 +28,11 @@ def epoch_second(column: str = "event_ts") -> Column:
     return F.unix_seconds(column)
 
 
+def known(value: Column) -> Column:
+    """A number that sorts first where the value is missing, so that keys join and group without NULLs."""
+    return F.coalesce(value, F.lit(NO_VALUE))
+
+
 def total_order(df: DataFrame, *first: str) -> list[str]:
     """The given columns, then all others, so that no two different rows tie."""
     return [*first, *[c for c in df.columns if c not in first]]
@@ -61,7 +66,7 @@ def running_balance(df: DataFrame, frame: str = "range", skew_safe: bool = True)
         "_local", _cumulative(within.orderBy(*ordering), frame)
     )
 
-    totals = slotted.filter("_hot").groupBy(*slot, "_busy").agg(
+    totals = slotted.filter("_hot_rows is not null").groupBy(*slot, "_busy").agg(
         exact_sum("amount").alias("_amount"), F.count(F.lit(1)).alias("_rows")
     )
     account = Window.partitionBy("_key", "_no_key")
@@ -97,19 +102,21 @@ def cut_slots(rows: DataFrame) -> DataFrame:
     block of transaction ids. Slots are grouped by their hash first: it tells sorted rows apart at once,
     where a hot account's key would tie.
     """
-    hot, busy = F.col("_hot"), F.col("_busy")
+    hot, busy = F.col("_hot_rows").isNotNull(), F.col("_busy")
 
     def when_known(condition: Column, value: Column) -> Column:
-        return F.when(condition, F.coalesce(value, F.lit(NO_VALUE))).otherwise(0)
+        return F.when(condition, known(value)).otherwise(0)
 
-    by_minute = mark_hot(rows, hot_keys(rows, "account_id"), "account_id", "_hot").withColumns(
+    by_minute = mark_hot(rows, hot_keys(rows, "account_id"), "account_id", "_hot_rows").withColumns(
         {
             **plain_key("account_id"),
             "_date": when_known(hot, day_number()),
             "_minute": when_known(hot, F.floor(epoch_second() / SLOT_SECONDS)),
         }
     )
-    minute_rows = by_minute.filter(hot).groupBy(*MINUTE).agg(F.count(F.lit(1)).alias("key_rows"))
+    # Only an account with that many rows can have such a minute; mostly there is none and no row is read.
+    candidates = by_minute.filter(F.col("_hot_rows") >= BUSY_ROWS)
+    minute_rows = candidates.groupBy(*MINUTE).agg(F.count(F.lit(1)).alias("key_rows"))
     busiest = hottest(minute_rows, MINUTE, BUSY_ROWS).select(*MINUTE, F.lit(True).alias("_listed"))
     return (
         by_minute.join(F.broadcast(busiest), MINUTE, "left")
@@ -150,10 +157,10 @@ def velocity(
         near = Window.partitionBy("account_id").orderBy(epoch_second()).rangeBetween(-before, after)
         return _flagged(rows.withColumn("velocity_count", F.count(F.lit(1)).over(near)), threshold)
 
-    rows = rows.withColumns({**plain_key("account_id"), "_second": epoch_second()})
+    rows = rows.withColumns({**plain_key("account_id"), "_second": known(epoch_second())})
     moment = ["_key", "_no_key", "_second"]
     counts = rows.groupBy(*moment).agg(F.count(F.lit(1)).alias("_rows"))
-    return _flagged(rows.join(_near_counts(counts, before, after), moment, "left"), threshold)
+    return _flagged(rows.join(_near_counts(counts, before, after), moment), threshold)
 
 
 def _near_counts(counts: DataFrame, before: int, after: int) -> DataFrame:
@@ -182,7 +189,7 @@ def _flagged(df: DataFrame, threshold: int) -> DataFrame:
         "event_ts",
         "amount",
         "velocity_count",
-        F.coalesce(F.col("velocity_count") >= threshold, F.lit(False)).alias("is_velocity_alert"),
+        (F.col("velocity_count") >= threshold).alias("is_velocity_alert"),
     )
 
 
@@ -238,7 +245,7 @@ def amount_spike(df: DataFrame, days: int = 7, factor: float = 3.0) -> DataFrame
     Earlier means an earlier second; the first row of a window has no average and is not flagged.
     """
     rows = df.select("transaction_id", "account_id", "event_date", "event_ts", "amount").withColumns(
-        {**plain_key("account_id"), "_day": day_number(), "_second": epoch_second()}
+        {**plain_key("account_id"), "_day": known(day_number()), "_second": known(epoch_second())}
     )
     day = ["_key", "_no_key", "_day"]
     moment = [*day, "_second"]
@@ -250,7 +257,9 @@ def amount_spike(df: DataFrame, days: int = 7, factor: float = 3.0) -> DataFrame
         F.sum("_amounts").over(earlier_today).alias("_today_amounts"),
     )
     days_before = Window.partitionBy("_key", "_no_key").orderBy("_day").rangeBetween(-(days - 1), -1)
-    past = rows.groupBy(*day).agg(exact_sum("amount").alias("_amount"), F.count("amount").alias("_amounts")).select(
+    # From the rows again: a day's total is small map-side, which costs less than reading the moments twice.
+    daily = rows.groupBy(*day).agg(exact_sum("amount").alias("_amount"), F.count("amount").alias("_amounts"))
+    past = daily.select(
         *day,
         F.sum("_amount").over(days_before).alias("_past_amount"),
         F.sum("_amounts").over(days_before).alias("_past_amounts"),
@@ -262,7 +271,7 @@ def amount_spike(df: DataFrame, days: int = 7, factor: float = 3.0) -> DataFrame
         (F.coalesce("_today_amounts", zero) + F.coalesce("_past_amounts", zero)).alias("_count"),
     )
     average = mean("_total", "_count")
-    return rows.join(baseline, moment, "left").select(
+    return rows.join(baseline, moment).select(
         "transaction_id",
         "account_id",
         "event_ts",

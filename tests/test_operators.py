@@ -200,10 +200,15 @@ def test_velocity_skew_safe_equals_plain(bank, bounds):
     same_rows(safe, windows.velocity(bank.transaction, skew_safe=False, **options))
 
 
-def test_velocity_keeps_rows_without_time(spark):
-    df = txn(spark, dict(transaction_id=1, event_ts=None, event_date="2024-01-05", ingest_date="2024-01-05"))
-    out = windows.velocity(df).collect()
-    assert [(r.velocity_count, r.is_velocity_alert) for r in out] == [(None, False)]
+def test_rows_without_time_or_account_are_kept(spark):
+    untimed = dict(event_ts=None, event_date="2024-01-05", ingest_date="2024-01-05")
+    cases = [dict(transaction_id=i, account_id=i % 3 or None, **untimed) for i in range(1, 9)]
+    cases += [dict(transaction_id=i, account_id=i % 3 or None) for i in range(10, 20)]
+    df = txn(spark, *cases)
+    counted = windows.velocity(df, threshold=3)
+    assert counted.count() == 18
+    same_rows(counted, windows.velocity(df, threshold=3, skew_safe=False))
+    assert windows.amount_spike(df).count() == 18
 
 
 def test_velocity_window_edges(spark):
