@@ -19,16 +19,20 @@ def duck():
     connection.close()
 
 
+OWN = sorted(set(QUERIES) - set(registry.llm_queries() if registry.llm else ()))
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(OWN) <= set(ORACLES)
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_oracle(spark, duck, name):
     assert difference(QUERIES[name](spark, CHECKED), duck, ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", OWN)
 def test_oracle_returns_rows(duck, name):
     assert duck.execute(f"select count(*) from ({ORACLES[name]}) q").fetchall()[0][0] > 0
 
