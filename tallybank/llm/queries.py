@@ -7,8 +7,15 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallybank.llm import op1_token_files
+from tallybank.llm import (
+    op1_token_files,
+    op3_toxicity,
+    op5_quality_rules,
+    folds,
+)
+from tallybank.llm.stored import stored
 from tallybank.session import scratch_path
 
 SQL = Path(__file__).parent / "sql"
@@ -25,8 +32,31 @@ def op1_token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_token_files.read_documents(folder, manifest)
 
 
+def op3_toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    weights = op3_toxicity.train(folds.labelled(docs, labels, "toxic", 5, 0, op3_toxicity.MOST_ROWS))
+    return judged(op3_toxicity.score(docs, weights), 0.5)
+
+
+def judged(scores: DataFrame, least: float) -> DataFrame:
+    return scores.select(
+        "doc_id",
+        (folds.fold("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= least).cast("int").alias("predicted"),
+    )
+
+
+def op5_quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted, _ = stored(op5_quality_rules.count_texts(table(spark, sf_dir, "documents")), "quality-counts")
+    columns = ["doc_id", *op5_quality_rules.COUNTS[:5], "base_failed", "kept", "p_good", "votes"]
+    return op5_quality_rules.judge(counted).select(*columns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files_query,
+    "op3_toxicity": op3_toxicity_query,
+    "op5_quality_rules": op5_quality_rules_query,
 }
 
 
