@@ -13,6 +13,7 @@ from tallybank.llm import (
     op1_token_files,
     op3_toxicity,
     op5_quality_rules,
+    op9_language,
     folds,
 )
 from tallybank.llm.stored import stored
@@ -53,10 +54,18 @@ def op5_quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_quality_rules.judge(counted).select(*columns)
 
 
+def op9_language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counted, _ = stored(op9_language.count_words(docs.filter(folds.fold("doc_id", 4) != 2)), "language-words")
+    predicted = op9_language.predict(docs, op9_language.learn(counted))
+    return predicted.select("doc_id", (folds.fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files_query,
     "op3_toxicity": op3_toxicity_query,
     "op5_quality_rules": op5_quality_rules_query,
+    "op9_language": op9_language_query,
 }
 
 
