@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallybank.llm import (
     op1_token_files,
+    op2_quality_model,
     op3_toxicity,
     op5_quality_rules,
     op9_language,
@@ -61,11 +62,19 @@ def op9_language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", (folds.fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op2_quality_model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    vectors = op2_quality_model.context_vectors(docs)
+    known = folds.labelled(docs, labels, "quality", 5, 0, op2_quality_model.MOST_ROWS)
+    return judged(op2_quality_model.score(docs, vectors, op2_quality_model.train(known, vectors)), 0.3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files_query,
     "op3_toxicity": op3_toxicity_query,
     "op5_quality_rules": op5_quality_rules_query,
     "op9_language": op9_language_query,
+    "op2_quality_model": op2_quality_model_query,
 }
 
 
