@@ -14,6 +14,7 @@ from tallybank.llm import (
     op2_quality_model,
     op3_toxicity,
     op5_quality_rules,
+    op7_source_mix,
     op9_language,
     folds,
 )
@@ -69,12 +70,18 @@ def op2_quality_model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(op2_quality_model.score(docs, vectors, op2_quality_model.train(known, vectors)), 0.3)
 
 
+def op7_source_mix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = op7_source_mix.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files_query,
     "op3_toxicity": op3_toxicity_query,
     "op5_quality_rules": op5_quality_rules_query,
     "op9_language": op9_language_query,
     "op2_quality_model": op2_quality_model_query,
+    "op7_source_mix": op7_source_mix_query,
 }
 
 
