@@ -14,6 +14,7 @@ from tallybank.llm import (
     op2_quality_model,
     op3_toxicity,
     op5_quality_rules,
+    op6_neighbours,
     op7_source_mix,
     op9_language,
     folds,
@@ -75,6 +76,11 @@ def op7_source_mix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_neighbours_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return op6_neighbours.nearest(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files_query,
     "op3_toxicity": op3_toxicity_query,
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language_query,
     "op2_quality_model": op2_quality_model_query,
     "op7_source_mix": op7_source_mix_query,
+    "op6_neighbours": op6_neighbours_query,
 }
 
 
