@@ -17,6 +17,7 @@ from tallybank.llm import (
     op6_neighbours,
     op7_source_mix,
     op9_language,
+    op10_ngram_join,
     folds,
 )
 from tallybank.llm.stored import stored
@@ -81,6 +82,10 @@ def op6_neighbours_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_neighbours.nearest(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 20)
 
 
+def op10_ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files_query,
     "op3_toxicity": op3_toxicity_query,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_model": op2_quality_model_query,
     "op7_source_mix": op7_source_mix_query,
     "op6_neighbours": op6_neighbours_query,
+    "op10_ngram_join": op10_ngram_join_query,
 }
 
 
