@@ -10,8 +10,9 @@ without words has none). Documents link when their sets have a Jaccard similarit
 3. Prefix tokens of order 0 are joined. In token groups of up to SMALL members all pairs become candidates. In larger
    ones each member becomes a candidate with the group's centre, the member with the most shared tokens; what that links
    is one component from then on.
-4. Groups that still hold several components are compared inside tasks, block by block, in which a pair becomes a
-   candidate only if both prefixes, under order 0 and under order 1, have enough tokens in common.
+4. Groups that still hold several components are compared inside tasks, block by block. A pair there shares a prefix token
+   under order 0; it becomes a candidate if its prefixes under order 1 have enough tokens in common, and its bitmaps
+   of hashed tokens differ in at most as many bits as similar sets may differ in tokens.
 5. A candidate is verified on both whole texts, after the last filter: a common prefix token under order 2.
 
 The number of common prefix tokens that a filter demands follows from the sizes: beyond the prefixes at most
@@ -41,6 +42,7 @@ SKETCH_BITS = 21
 PIECES = 8
 SMALL = 8
 BLOCK_ROWS = 1024
+SHORT_LIST = 1_000_000
 _SEEDS = [np.uint64(0), np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)]
 
 
@@ -73,12 +75,6 @@ def prefix(tokens: np.ndarray, classes: np.ndarray, order: int) -> np.ndarray:
     return tokens[np.lexsort((tokens, key))[: prefix_length(len(tokens))]]
 
 
-def least_common(n: int, m: int) -> int:
-    """How many common prefix tokens two similar sets of n and m tokens have at least."""
-    wanted = -(-4 * (n + m) // 9)
-    return max(1, wanted - max((4 * n + 4) // 5, (4 * m + 4) // 5) + 1)
-
-
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """100 * intersection >= 80 * union, for sets that are not empty."""
     if not len(a) or not len(b):
@@ -155,10 +151,17 @@ def sizes_fit(n: str, m: str) -> Column:
     return 5 * F.least(n, m) >= 4 * F.greatest(n, m)
 
 
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents named in `ids` (id); the list is broadcast only if it is short."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    wanted = ids.distinct()
+    return texts.join(F.broadcast(wanted) if wanted.count() <= SHORT_LIST else wanted, "id", "left_semi")
+
+
 def verified(candidates: DataFrame, docs: DataFrame, classes: np.ndarray) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar. Texts are looked up by id, one document at a time."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").filter("id is not null")
+    texts = texts_of(docs, candidates.selectExpr("a id").union(candidates.selectExpr("b id")))
     first = candidates.join(texts.withColumnsRenamed({"id": "a", "text": "text_a"}), "a")
     both = first.join(texts.withColumnsRenamed({"id": "b", "text": "text_b"}), "b")
 
@@ -174,81 +177,107 @@ def verified(candidates: DataFrame, docs: DataFrame, classes: np.ndarray) -> Dat
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def cross_candidates(groups: DataFrame, classes: np.ndarray) -> DataFrame:
-    """Pairs from large token groups (token, doc, n, component), by prefix filters inside tasks.
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Bytes of a bitmap of at least 8 bits per token, a power of two, with the bits of the tokens' hashes set."""
+    bits = np.zeros(max(256, 1 << int(8 * len(tokens) - 1).bit_length()), bool)
+    bits[mix(tokens ^ _SEEDS[1]) % np.uint64(len(bits))] = True
+    return np.packbits(bits)
 
-    A group is cut into blocks of about BLOCK_ROWS documents; each pair of blocks is one task group.
-    """
-    chunk = F.pmod(F.xxhash64("doc"), F.ceil(F.col("members") / BLOCK_ROWS)).cast("int")
-    rows = groups.withColumn("mine", chunk).withColumn("chunks", F.ceil(F.col("members") / BLOCK_ROWS).cast("int"))
-    others = F.sequence(F.lit(0), F.col("chunks") - 1)
-    spread = rows.withColumn("other", F.explode(others)).select(
-        "token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "doc", "n",
-        "component", "order0", "order1",
-    )
 
-    def compare(table: pa.Table) -> pa.Table:
-        doc, n, part, mine = (table[c].to_numpy() for c in ("doc", "n", "component", "mine"))
-        i, j, token = table["i"][0].as_py(), table["j"][0].as_py(), table["token"][0].as_py()
-        found = []
-        lists = [_postings(table[c]) for c in ("order0", "order1")]
-        for x in np.flatnonzero(mine == i):
-            counts = [_common(postings, x, len(doc)) for postings in lists]
-            fits = (part != part[x]) & (5 * np.minimum(n, n[x]) >= 4 * np.maximum(n, n[x]))
-            fits &= (doc > doc[x]) if i == j else (mine == j)
-            need = np.maximum(1, -(-4 * (n + n[x]) // 9) - np.maximum((4 * n + 4) // 5, (4 * n[x] + 4) // 5) + 1)
-            for y in np.flatnonzero(fits & (counts[0] >= need) & (counts[1] >= need)):
-                shared = np.intersect1d(lists[0].own(x), lists[0].own(y))
-                if shared[0] == token:
-                    found.append((min(doc[x], doc[y]), max(doc[x], doc[y])))
-        pairs = np.array(found, np.int64).reshape(-1, 2)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return spread.groupBy("token", "i", "j").applyInArrow(compare, "a long, b long")
+def fold(bitmaps: np.ndarray, size: int) -> np.ndarray:
+    """The bitmaps that `size` bytes would have given."""
+    while bitmaps.shape[-1] > size:
+        half = bitmaps.shape[-1] // 2
+        bitmaps = bitmaps[..., :half] | bitmaps[..., half:]
+    return bitmaps
 
 
-class _postings:
-    """Documents of each token, of a column of token lists."""
+class Filters:
+    """Upper bounds of what the documents of one task group share."""
 
-    def __init__(self, column: pa.ChunkedArray):
-        lists = column.combine_chunks()
-        values = lists.flatten().to_numpy()
-        self.bounds = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
-        self.values = values
-        doc = np.repeat(np.arange(len(lists)), np.diff(self.bounds))
+    def __init__(self, n: np.ndarray, prefixes: pa.Array, bitmaps: list[np.ndarray]):
+        self.n, self.bitmaps = n, bitmaps
+        self.sizes = np.array([len(x) for x in bitmaps])
+        self.by_size = {size: np.flatnonzero(self.sizes == size) for size in np.unique(self.sizes).tolist()}
+        self.stacked = {size: np.stack([bitmaps[i] for i in rows]) for size, rows in self.by_size.items()}
+        values = prefixes.flatten().to_numpy()
+        self.bounds = np.concatenate([[0], np.cumsum(np.diff(prefixes.offsets.to_numpy()))])
         order = np.argsort(values, kind="stable")
-        self.docs = doc[order]
-        sorted_values = values[order]
-        self.low, self.high = (np.searchsorted(sorted_values, values, side) for side in ("left", "right"))
-
-    def own(self, x: int) -> np.ndarray:
-        return self.values[self.bounds[x] : self.bounds[x + 1]]
-
-
-def _common(postings: _postings, x: int, n: int) -> np.ndarray:
-    """How many tokens each document shares with document `x`."""
-    a, b = postings.bounds[x], postings.bounds[x + 1]
-    parts = [postings.docs[lo:hi] for lo, hi in zip(postings.low[a:b], postings.high[a:b], strict=True)]
-    return np.bincount(np.concatenate(parts), minlength=n) if parts else np.zeros(n, np.int64)
-
-
-def with_prefixes(rows: DataFrame, docs: DataFrame, classes: np.ndarray) -> DataFrame:
-    """`ids` (doc) with their prefix tokens under orders 0 and 1."""
+        self.docs = np.repeat(np.arange(len(n)), np.diff(self.bounds))[order]
+        self.low, self.high = (np.searchsorted(values[order], values, side) for side in ("left", "right"))
+
+    def common_prefix(self, x: int) -> np.ndarray:
+        """Prefix tokens of order 1 that each document shares with document `x`."""
+        a, b = self.bounds[x], self.bounds[x + 1]
+        parts = [self.docs[low:high] for low, high in zip(self.low[a:b], self.high[a:b], strict=True)]
+        return np.bincount(np.concatenate(parts), minlength=len(self.n))
+
+    def differing_bits(self, x: int) -> np.ndarray:
+        """At most as many as there are tokens in only one of the two sets."""
+        out = np.zeros(len(self.n), np.int64)
+        for size, rows in self.by_size.items():
+            least = min(size, len(self.bitmaps[x]))
+            differ = fold(self.stacked[size], least) ^ fold(self.bitmaps[x], least)
+            out[rows] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+        return out
+
+    def possible(self, x: int) -> np.ndarray:
+        """Whether each document can be similar to document `x`."""
+        n, m = self.n, self.n[x]
+        fits = 5 * np.minimum(n, m) >= 4 * np.maximum(n, m)
+        beyond = np.maximum((4 * n + 4) // 5, (4 * m + 4) // 5) - 1
+        fits &= self.common_prefix(x) >= np.maximum(1, -(-4 * (n + m) // 9) - beyond)
+        return fits & (self.differing_bits(x) <= (n + m) // 9)
+
+
+def with_filters(ids: DataFrame, docs: DataFrame, classes: np.ndarray) -> DataFrame:
+    """Of the documents in `ids` (id), the prefix under order 1, in 32 bits per token, and the bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [t for _, t in sets_of(batch["text"])]
+            short = [(prefix(t, shared.value, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32) for t in sets]
             yield pa.record_batch(
-                {"doc": batch["doc"]}
-                | {
-                    f"order{k}": pa.array([prefix(t, shared.value, k).view(np.int64) for t in sets], pa.list_(pa.int64()))
-                    for k in (0, 1)
+                {
+                    "doc": batch["id"],
+                    "order1": pa.array(short, pa.list_(pa.int32())),
+                    "bits": pa.array([bitmap(t).tobytes() for t in sets], pa.binary()),
                 }
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(rows.select("doc").distinct(), "doc")
-    return texts.mapInArrow(run, "doc long, order0 array<long>, order1 array<long>")
+    return texts_of(docs, ids).mapInArrow(run, "doc long, order1 array<int>, bits binary")
+
+
+def cross_candidates(groups: DataFrame) -> DataFrame:
+    """Pairs of different components from large token groups, by filters inside tasks.
+
+    A group is cut into blocks of about BLOCK_ROWS documents; each pair of blocks is one task group.
+    """
+    chunks = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
+    rows = groups.withColumn("mine", F.pmod(F.xxhash64("doc"), chunks).cast("int"))
+    spread = rows.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1))).select(
+        "token",
+        F.least("mine", "other").alias("i"),
+        F.greatest("mine", "other").alias("j"),
+        *["mine", "doc", "n", "component", "order1", "bits"],
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        doc, n, part, mine = (table[c].to_numpy() for c in ("doc", "n", "component", "mine"))
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        bitmaps = [np.frombuffer(bits, np.uint8) for bits in table["bits"].to_pylist()]
+        filters, pairs = Filters(n, table["order1"].combine_chunks(), bitmaps), [np.zeros((0, 2), np.int64)]
+        for x in np.flatnonzero(mine == i):
+            other = part != part[x]
+            other &= (doc > doc[x]) if i == j else (mine == j)
+            if other.any():
+                y = doc[other & filters.possible(x)]
+                pairs.append(np.column_stack([np.minimum(y, doc[x]), np.maximum(y, doc[x])]))
+        found = np.concatenate(pairs)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    return spread.groupBy("token", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -262,10 +291,12 @@ def join(docs: DataFrame) -> DataFrame:
         known.select("doc_id", "n", "s1", "s2").join(same, ["n", "s1", "s2"]).select("doc_id", "first").distinct(),
         "shingle-copies",
     )
-    # One representative per class; all rows of an id stay if the id represents any of its classes.
-    firsts = same.select(F.col("first").alias("doc"), "n", "s1", "s2")
-    alone = known.select(F.col("doc_id").alias("doc"), "n", "s1", "s2", "tokens").join(firsts, ["doc", "n", "s1", "s2"])
-    tokens = alone.select("doc", "n", F.explode("tokens").alias("token")).distinct()
+    # Only one representative of each class goes on.
+    others = known.select("doc_id", "n", "s1", "s2").join(same, ["n", "s1", "s2"]).filter("doc_id <> first")
+    others = others.select("doc_id", "s1", "s2").distinct()
+    listed = F.broadcast(others) if others.count() <= SHORT_LIST else others
+    alone = known.join(listed, ["doc_id", "s1", "s2"], "left_anti")
+    tokens = alone.select(F.col("doc_id").alias("doc"), "n", F.explode("tokens").alias("token"))
     members = tokens.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1")
     repeated, repeated_path = stored(tokens.join(members, "token"), "shingle-tokens")
 
@@ -289,13 +320,21 @@ def join(docs: DataFrame) -> DataFrame:
 
     placed = large.join(found.withColumnRenamed("node", "doc"), "doc", "left")
     placed = placed.withColumn("component", F.coalesce("component", "doc"))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-    open_groups, open_path = stored(placed.join(mixed.select("token"), "token"), "shingle-open")
-    prefixes = with_prefixes(open_groups, docs, classes)
-    crossing = cross_candidates(open_groups.join(prefixes, "doc"), classes).distinct()
+    # Groups with several components; of groups with the same documents, one.
+    groups = placed.groupBy("token").agg(
+        F.min("component").alias("x"),
+        F.max("component").alias("y"),
+        F.count("*").alias("size"),
+        F.sum(F.xxhash64("doc").cast("decimal(20,0)")).alias("one"),
+        F.sum(F.xxhash64("doc", F.lit(1)).cast("decimal(20,0)")).alias("two"),
+    )
+    mixed = groups.filter("x < y").groupBy("size", "one", "two").agg(F.min("token").alias("token")).select("token")
+    open_groups, open_path = stored(placed.join(mixed, "token"), "shingle-open")
+    filters = with_filters(open_groups.selectExpr("doc id"), docs, classes)
+    crossing, crossing_path = stored(cross_candidates(open_groups.join(filters, "doc")).distinct(), "shingle-crossing")
     more, more_path = stored(verified(crossing, docs, classes), "shingle-more")
     merged, _ = stored(components(first_links.union(more)), "shingle-merged")
-    remove(spark, [copies_path, repeated_path, candidates_path, links_path, found_path, open_path, more_path])
+    remove(spark, [copies_path, repeated_path, candidates_path, links_path, found_path, open_path, crossing_path, more_path])
     placed_rows = sets.select("doc_id", F.col("n").alias("n_shingles"))
     result = placed_rows.join(merged.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return result.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

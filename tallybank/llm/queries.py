@@ -13,6 +13,7 @@ from tallybank.llm import (
     op1_token_files,
     op2_quality_model,
     op3_toxicity,
+    op4_pieces,
     op5_quality_rules,
     op6_neighbours,
     op7_source_mix,
@@ -86,6 +87,12 @@ def op10_ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op4_pieces_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op4_pieces.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    ids = F.col("piece_ids")
+    return found.select("doc_id", F.size(ids).cast("long").alias("n_pieces"), F.xxhash64(ids).alias("ids_hash"), "round_trip")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files_query,
     "op3_toxicity": op3_toxicity_query,
@@ -95,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_source_mix": op7_source_mix_query,
     "op6_neighbours": op6_neighbours_query,
     "op10_ngram_join": op10_ngram_join_query,
+    "op4_pieces": op4_pieces_query,
 }
 
 
