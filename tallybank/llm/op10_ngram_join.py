@@ -38,11 +38,12 @@ from tallybank.llm.stored import remove, stored
 from tallybank.llm.words import blocks, hash_words, mix, windows
 
 SHINGLE = 5
-SKETCH_BITS = 21
-PIECES = 8
+SKETCH_BITS = 23
+PIECES = 16
 SMALL = 8
 BLOCK_ROWS = 1024
 SHORT_LIST = 1_000_000
+MOST_COUNT = 0xFFFFFFF
 _SEEDS = [np.uint64(0), np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)]
 
 
@@ -88,38 +89,36 @@ def frequency_classes(docs: DataFrame) -> np.ndarray:
 
     def packed(table: np.ndarray) -> Iterator[pa.RecordBatch]:
         for piece, part in enumerate(np.split(table, PIECES)):
-            data = zlib.compress(part.astype("<i8").tobytes(), 1)
+            data = zlib.compress(np.minimum(part, MOST_COUNT).astype("<u4").tobytes(), 1)
             yield pa.record_batch({"piece": pa.array([piece], pa.int32()), "counts": pa.array([data], pa.binary())})
 
     def unpacked(data: bytes) -> np.ndarray:
-        return np.frombuffer(zlib.decompress(data), "<i8")
+        return np.frombuffer(zlib.decompress(data), "<u4")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << SKETCH_BITS, np.int64)
+        table = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             for _, tokens in sets_of(batch.column(0)):
-                np.add.at(table, tokens >> np.uint64(64 - SKETCH_BITS), 1)
+                np.add.at(table, tokens >> np.uint64(64 - SKETCH_BITS), np.uint32(1))
         yield from packed(table)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for piece, data in zip(batch["piece"].to_pylist(), batch["counts"].to_pylist(), strict=True):
-                sums[piece] = sums.get(piece, 0) + unpacked(data)
+                part = unpacked(data)
+                sums[piece] = np.minimum(sums.get(piece, np.zeros(len(part), np.uint64)) + part, MOST_COUNT)
         for piece, total in sums.items():
-            classes = total.astype("<i8").tobytes()
-            yield pa.record_batch(
-                {"piece": pa.array([piece], pa.int32()), "counts": pa.array([zlib.compress(classes, 1)], pa.binary())}
-            )
+            data = zlib.compress(total.astype("<u4").tobytes(), 1)
+            yield pa.record_batch({"piece": pa.array([piece], pa.int32()), "counts": pa.array([data], pa.binary())})
 
     schema = "piece int, counts binary"
     counted = docs.select("text").mapInArrow(count, schema).repartition(PIECES, "piece").mapInArrow(add, schema)
-    table = np.zeros((PIECES, (1 << SKETCH_BITS) // PIECES))
+    table = np.zeros((PIECES, (1 << SKETCH_BITS) // PIECES), np.uint32)
     for row in counted.toLocalIterator():
-        table[row["piece"]] += unpacked(row["counts"])
-    table = table.ravel()
-    usual = np.median(table)
-    return np.maximum(0, np.ceil(np.log2((table + 1) / (usual + 6 * usual**0.5 + 16)))).astype(np.uint8)
+        table[row["piece"]] = unpacked(row["counts"])
+    usual = float(np.median(table))
+    return np.maximum(0, np.ceil(np.log2((table.ravel() + 1.0) / (usual + 4 * usual**0.5 + 5)))).astype(np.uint8)
 
 
 def document_sets(docs: DataFrame, classes: np.ndarray) -> DataFrame:
@@ -340,6 +339,23 @@ def join(docs: DataFrame) -> DataFrame:
     return result.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def without_copies(docs: DataFrame) -> DataFrame:
+    """One row of each group of linked documents: the one whose id names the group. Null ids and empty texts stay.
+
+    Of rows with the same id, one stays; only such rows are compared with each other.
+    """
+    joined, _ = stored(join(docs).select("doc_id", "component_id"), "shingle-groups")
+    linked = joined.filter("doc_id <> component_id").select(F.col("doc_id").alias("linked_id")).distinct()
+    listed = F.broadcast(linked) if linked.count() <= SHORT_LIST else linked
+    kept = docs.join(listed, F.col("doc_id").cast("long") == F.col("linked_id"), "left_anti")
+    twice = joined.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    again = [row["doc_id"] for row in twice.limit(1).collect()]
+    if not again:
+        return kept
+    named, unnamed = kept.filter("doc_id is not null"), kept.filter("doc_id is null")
+    return named.dropDuplicates(["doc_id"]).union(unnamed)
+
+
 def small_pairs(repeated: DataFrame) -> DataFrame:
     """Pairs of documents that share a token group of up to SMALL members, if enough of their prefixes can be equal.
 

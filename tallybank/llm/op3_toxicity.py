@@ -18,6 +18,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallybank.llm.words import LOWER, Block, blocks, hash_words, mix
 
@@ -142,9 +144,9 @@ def train(
     return Weights(places[real], values[real], float(values[~real][0]) if len(values) else -np.inf)
 
 
-def score(docs: DataFrame, weights: Weights) -> DataFrame:
-    """doc_id and the probability of toxicity for each whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+def score(docs: DataFrame, weights: Weights, name: str = "score") -> DataFrame:
+    """All columns of `docs`, and the probability of toxicity of each whole text as column `name`."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(weights), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -152,8 +154,15 @@ def score(docs: DataFrame, weights: Weights) -> DataFrame:
         dense[model.places] = model.values
         for batch in batches:
             total = np.full(batch.num_rows, model.intercept)
-            for row, at in extract(batch.column(1)):
-                total[row] += dense[at].sum()
-            yield pa.record_batch({"doc_id": batch.column(0), "score": sigmoid(total)})
+            for row, places in extract(batch.column(at)):
+                total[row] += dense[places].sum()
+            yield pa.record_batch([*batch.columns, pa.array(sigmoid(total))], names=[*batch.schema.names, name])
+
+    fields = StructType([*docs.schema.fields, StructField(name, DoubleType())])
+    return docs.mapInArrow(run, fields)
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+def without_toxic(docs: DataFrame, weights: Weights, least: float = 0.5) -> DataFrame:
+    """The rows of `docs` whose score is below `least`."""
+    name = "_".join(["toxic", *docs.columns])
+    return score(docs, weights, name).filter(F.col(f"`{name}`") < least).drop(name)

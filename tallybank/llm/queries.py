@@ -17,6 +17,7 @@ from tallybank.llm import (
     op5_quality_rules,
     op6_neighbours,
     op7_source_mix,
+    op8_passages,
     op9_language,
     op10_ngram_join,
     folds,
@@ -41,7 +42,7 @@ def op1_token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     weights = op3_toxicity.train(folds.labelled(docs, labels, "toxic", 5, 0, op3_toxicity.MOST_ROWS))
-    return judged(op3_toxicity.score(docs, weights), 0.5)
+    return judged(op3_toxicity.score(docs.select("doc_id", "text"), weights), 0.5)
 
 
 def judged(scores: DataFrame, least: float) -> DataFrame:
@@ -93,6 +94,10 @@ def op4_pieces_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size(ids).cast("long").alias("n_pieces"), F.xxhash64(ids).alias("ids_hash"), "round_trip")
 
 
+def op8_passages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_passages.passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files_query,
     "op3_toxicity": op3_toxicity_query,
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_neighbours": op6_neighbours_query,
     "op10_ngram_join": op10_ngram_join_query,
     "op4_pieces": op4_pieces_query,
+    "op8_passages": op8_passages_query,
 }
 
 
