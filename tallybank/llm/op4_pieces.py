@@ -30,7 +30,7 @@ from tallybank.llm.token_ids import Known
 from tallybank.llm.words import text_bytes
 
 SIGN = "▁"
-MOST_PAIRS = 500_000
+MOST_SEGMENTS, MOST_PAIRS = 160_000, 120_000
 
 
 class Pieces:
@@ -43,9 +43,11 @@ class Pieces:
         self.follows = Known(self._follows, MOST_PAIRS)
         whole = (piece for piece in ids if not merged or self.merge(piece) == [piece])
         self.usable = {piece: (ids[piece], scores[piece]) for piece in whole}
-        splits = not any(re.search(f"[^{SIGN}]{SIGN}", piece) for piece in scores)
-        self.segments = re.compile(f"{SIGN}+[^{SIGN}]*|[^{SIGN}]+" if splits else r"(?s).+")
-        self.known = Known(lambda segment: b"".join(self.search(segment)))
+        self.inside = {piece[k : k + 2] for piece in scores for k in range(len(piece) - 1)}
+        crossed = any(pair[0] != SIGN and pair[1] == SIGN for pair in self.inside)
+        self.segments = re.compile(r"(?s).+" if crossed else f"{SIGN}+[^{SIGN}]*|[^{SIGN}]+")
+        self.known = Known(self._segment, MOST_SEGMENTS)
+        self.atoms = Known(lambda atom: b"".join(self.search(atom)), MOST_SEGMENTS)
         table = {i: piece.replace(SIGN, " ").encode() for piece, i in ids.items()}
         self.bytes_of = table | {i: bytes([b]) for b, i in enumerate(byte_ids)}
 
@@ -81,6 +83,18 @@ class Pieces:
         first, second = self.names[pair >> 32], self.names[pair & 0xFFFFFFFF]
         return self.merge(first + second) == [first, second]
 
+    def forget(self) -> None:
+        """Give the memory of remembered ids back, at the end of a task."""
+        for known in (self.known, self.atoms, self.follows):
+            known.forget()
+
+    def _segment(self, text: str) -> bytes:
+        """Ids of one segment, cut where no piece has the two characters next to each other."""
+        cuts = [k for k in range(1, len(text)) if text[k - 1 : k + 1] not in self.inside]
+        if not cuts:
+            return self.atoms[text]
+        return b"".join([self.atoms[text[a:b]] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)])
+
     def search(self, text: str) -> Iterator[bytes]:
         """Ids of one segment, packed, as they are committed."""
         run = 0
@@ -93,11 +107,16 @@ class Pieces:
 
     def _run(self, text: str) -> Iterator[bytes]:
         """Characters that all have pieces. The lists hold the boundaries since the last commit, at `base`."""
-        piece_at, follows, merged = self.usable.get, self.follows, self.merged
+        piece_at, follows, merged, longest = self.usable.get, self.follows, self.merged, self.longest
         base, begins, lasts, totals = 0, [0], [-1], [0.0]
         for end in range(1, len(text) + 1):
             from_, id_, total = -1, -1, 0.0
-            for begin in range(max(base, end - self.longest), end):
+            if merged and (begin := begins[-1]) >= base and (piece := piece_at(text[begin:end])):
+                # Only one way can be valid, and it is often the last piece with one more character.
+                last = lasts[begin - base]
+                if last < 0 or follows[last << 32 | piece[0]]:
+                    from_, id_ = begin, piece[0]
+            for begin in range(max(base, end - longest), end) if id_ < 0 else ():
                 piece = piece_at(text[begin:end])
                 if piece is None:
                     continue
@@ -164,6 +183,7 @@ def encode(docs: DataFrame, model: str, keep: list[str]) -> DataFrame:
                         "text_crc32": pa.array([zlib.crc32(text) for text in texts], pa.int64()),
                     }
                 )
+        pieces.forget()
 
     kinds = dict(docs.dtypes)
     schema = "".join(f"`{name}` {kinds[name]}, " for name in keep) + "piece_ids array<int>, text_crc32 long"

@@ -25,7 +25,7 @@ class TextEncoder:
     @staticmethod
     @cache
     def of(path: str) -> TextEncoder:
-        """One per Python worker, so that tasks share the remembered words."""
+        """One per Python worker, so that the vocabulary is read once."""
         return TextEncoder(path)
 
     def __init__(self, path: str):
@@ -51,6 +51,11 @@ class TextEncoder:
             return np.frombuffer(self._whole(text.decode()) + end, np.uint32)
         return np.frombuffer(b"".join(map(self.words.__getitem__, text.split())) + end, np.uint32)
 
+    def forget(self) -> None:
+        """Give the memory of remembered ids back, at the end of a task."""
+        self.words.forget()
+        self.pieces.forget()
+
     def _whole(self, text: str) -> bytes:
         return _packed(self.library.encode(text, add_special_tokens=False).ids)
 
@@ -82,6 +87,10 @@ class Known(dict):
         self.make, self.most = make, most
         self.old: dict = {}
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
