@@ -22,13 +22,14 @@ from tallybank.llm import (
     op10_ngram_join,
     folds,
 )
-from tallybank.llm.stored import stored
+from tallybank.llm.stored import short_batches, stored
 from tallybank.session import scratch_path
 
 SQL = Path(__file__).parent / "sql"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -89,9 +90,11 @@ def op10_ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pieces_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = op4_pieces.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    docs, model = table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
     ids = F.col("piece_ids")
-    return found.select("doc_id", F.size(ids).cast("long").alias("n_pieces"), F.xxhash64(ids).alias("ids_hash"), "round_trip")
+    return op4_pieces.encode(docs, model, ["doc_id"]).select(
+        "doc_id", F.size(ids).cast("long").alias("n_pieces"), F.xxhash64(ids).alias("ids_hash"), "round_trip"
+    )
 
 
 def op8_passages_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,3 +23,13 @@ def remove(spark: SparkSession, paths: Iterable[str]) -> None:
     for path in paths:
         place = jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def short_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Hand whole texts to Python in batches of at most this many rows, for the rest of the session.
+
+    The default of 10,000 long texts takes memory several times over, in the JVM, on the way, and in Python.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, str(rows))
