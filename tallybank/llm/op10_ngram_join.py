@@ -40,7 +40,7 @@ from tallybank.llm.words import blocks, hash_words, mix, windows
 SHINGLE = 5
 SKETCH_BITS = 23
 PIECES = 16
-SMALL = 8
+SMALL = 32
 BLOCK_ROWS = 1024
 SHORT_LIST = 1_000_000
 MOST_COUNT = 0xFFFFFFF
