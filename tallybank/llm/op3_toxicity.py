@@ -89,7 +89,8 @@ class Ftrl:
 
 
 def sigmoid(x: np.ndarray | float) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(-np.asarray(x, float)))
 
 
 def train(
