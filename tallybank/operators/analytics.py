@@ -224,12 +224,12 @@ def revenue_by_currency(bank: Bank) -> DataFrame:
 
 
 def closed_accounts(bank: Bank) -> DataFrame:
-    """Closed accounts with their current customer. Accounts carry no status history, so no change is claimed."""
+    """All closed accounts, with their current customer where one is known. Accounts carry no status history, so no change is claimed."""
     closed = bank.account.filter(F.col("status") == "Closed").select(
         "account_id", "customer_id", "branch_id", "open_date", "balance"
     )
     owners = bank.customer_scd2.filter("is_current").select("customer_id", "first_name", "last_name", "risk_tier")
-    return closed.join(owners, "customer_id").select(
+    return closed.join(owners, "customer_id", "left").select(
         "account_id", "customer_id", "first_name", "last_name", "risk_tier", "branch_id", "open_date", "balance"
     )
 

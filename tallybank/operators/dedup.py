@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LATEST = ("ingest_date", "event_ts")
@@ -15,17 +17,30 @@ def dedup_latest(
 ) -> DataFrame:
     """Keep the latest row per key: `order` descending, then every other column, so no tie is left open.
 
+    Rows whose key is not fully known are not copies of each other: all of them stay.
+
     Spark limits each key to one row per input task before the shuffle, so a key with very many copies
     sends one row per task, not all of them.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    newest = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in [*order, *rest]])
-    return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
+    newest = Window.partitionBy(*keys, "_alone").orderBy(*[F.desc_nulls_last(c) for c in [*order, *rest]])
+    ranked = apart(df, keys).withColumn("_rank", F.row_number().over(newest))
+    return ranked.filter("_rank = 1").drop("_rank", "_alone")
+
+
+def unknown(keys: Sequence[str]) -> Column:
+    """Whether some part of the key is missing."""
+    return reduce(or_, [F.col(key).isNull() for key in keys])
+
+
+def apart(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Give each row without a known key a number of its own, so that it also spreads over the tasks."""
+    return df.withColumn("_alone", F.when(unknown(keys), F.monotonically_increasing_id()))
 
 
 def dedup_any(df: DataFrame, keys: Sequence[str] = ("transaction_id",)) -> DataFrame:
-    """One arbitrary row per key, for comparison: the survivor is not defined when copies differ."""
-    return df.dropDuplicates(list(keys))
+    """One arbitrary row per known key, for comparison: the survivor is not defined when copies differ."""
+    return apart(df, keys).dropDuplicates([*keys, "_alone"]).drop("_alone")
 
 
 def dedup_report(df: DataFrame, keys: Sequence[str] = ("transaction_id",)) -> DataFrame:
@@ -33,5 +48,5 @@ def dedup_report(df: DataFrame, keys: Sequence[str] = ("transaction_id",)) -> Da
     copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
     return copies.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_before"),
-        F.count(F.lit(1)).alias("rows_after"),
+        F.coalesce(F.sum(F.when(unknown(keys), F.col("_copies")).otherwise(1)), F.lit(0)).alias("rows_after"),
     ).withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))

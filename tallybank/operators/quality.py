@@ -17,7 +17,7 @@ Rules = Mapping[str, str]
 RULES: Rules = {
     "failed_txn_id": "transaction_id is not null",
     "failed_acct_id": "account_id > 0",
-    "failed_amount": "amount <> -999999.99D",
+    "failed_amount": "amount <> -999999.99D and abs(amount) < double('Infinity')",
     "failed_currency": "currency <> 'XXX'",
     "failed_date": "event_date is not null",
     "failed_type": "transaction_type <> 'UNKNOWN'",

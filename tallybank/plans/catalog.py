@@ -130,6 +130,21 @@ def dedup_by_day(bank: Bank) -> DataFrame:
     return dedup.dedup_latest(bank.transaction, ["transaction_id", "event_date"])
 
 
+def dedup_unknown_keys(bank: Bank) -> DataFrame:
+    """Deduplication of a table in which every seventh id is missing; such rows all stay."""
+    missing = F.expr("case when transaction_id % 7 = 0 then null else transaction_id end")
+    return dedup.dedup_latest(bank.transaction.withColumn("transaction_id", missing))
+
+
+def dq_non_finite(bank: Bank) -> DataFrame:
+    """Rows that pass all rules, of a table in which some amounts are not finite numbers."""
+    unfit = F.expr(
+        "case when transaction_id % 11 = 0 then double('NaN') when transaction_id % 13 = 0 then double('-Infinity') "
+        "else amount end"
+    )
+    return quality.split_quality(bank.transaction.withColumn("amount", unfit))[0]
+
+
 def duplicate_free_ids(bank: Bank) -> DataFrame:
     """dropDuplicates keeps any copy, so only the surviving ids are defined."""
     return dedup.dedup_any(bank.transaction.select("transaction_id"))
@@ -231,6 +246,7 @@ BATCH: dict[str, BankQuery] = {
     # windows and deduplication
     "dedup_latest": transactions_with(dedup.dedup_latest),
     "dedup_by_day": dedup_by_day,
+    "dedup_unknown_keys": dedup_unknown_keys,
     "dedup_counts": transactions_with(dedup.dedup_report),
     "dedup_any_ids": duplicate_free_ids,
     "running_balance": transactions_with(windows.running_balance),
@@ -242,6 +258,7 @@ BATCH: dict[str, BankQuery] = {
     "amount_spike": amount_spike,
     "daily_running_balance": transactions_with(windows.daily_running_balance),
     # quality
+    "dq_non_finite": dq_non_finite,
     "dq_valid": lambda bank: quality.split_quality(bank.transaction)[0],
     "dq_quarantine": lambda bank: quality.split_quality(bank.transaction)[1].drop("rejection_reasons"),
     "dq_reasons": lambda bank: quality.split_quality(bank.transaction)[1].select(
