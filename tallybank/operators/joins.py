@@ -66,7 +66,8 @@ def enrich_product(txn: DataFrame, product: DataFrame, hint: bool = True) -> Dat
 
 def account_versions(account: DataFrame, scd: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Customer versions keyed by account: a join of two dimensions, so the fact later needs one key only."""
-    owners = account.select("account_id", "customer_id")
+    # Accounts without an owner all have customer -1: one key, which no version has.
+    owners = account.select("account_id", "customer_id").filter("customer_id > 0")
     return owners.join(scd.select("customer_id", "effective_start", "effective_end", *columns), "customer_id")
 
 

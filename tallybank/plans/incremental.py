@@ -18,7 +18,6 @@ from tallybank.session import session_conf
 from tallybank.sinks.tables import overwrite_partitions
 from tallybank.sources.files import read_range
 
-COLD_START_DAYS = 30
 LOOKBACK_DAYS = 3
 DEDUP_KEYS = ("transaction_id", "event_date")
 WATERMARK = "event_date date, written_at timestamp"
@@ -28,7 +27,7 @@ def as_date(value: dt.date | str) -> dt.date:
     return dt.date.fromisoformat(value) if isinstance(value, str) else value
 
 
-def read_watermark(spark: SparkSession, path: str, default: dt.date) -> dt.date:
+def read_watermark(spark: SparkSession, path: str, default: dt.date | None = None) -> dt.date | None:
     """The last processed event date, or the default before the first run."""
     try:
         latest = spark.read.schema(WATERMARK).parquet(path).agg(F.max("event_date")).first()
@@ -54,22 +53,29 @@ def incremental_load(
     run_date: dt.date | str,
     lookback: int = LOOKBACK_DAYS,
     control: str | None = None,
+    start: dt.date | str | None = None,
 ) -> dt.date | None:
     """Copy the partitions since the watermark, deduplicated, and `lookback` days before it for late rows.
 
-    Replaces whole partitions, so a rerun changes nothing. The watermark moves after the write, to the
-    last date that had rows; with nothing to load it stays and None is returned.
+    The first load begins at `start`, or with the oldest day if none is given. Rows without a date belong
+    to no day, so each run loads all of them. Replaces whole partitions, so a rerun changes nothing. The
+    watermark moves after the write, to the last date that had rows; with nothing to load it stays and None
+    is returned.
     """
     run_date = as_date(run_date)
     control = control or f"{dst}_watermark"
-    watermark = read_watermark(spark, control, run_date - dt.timedelta(days=COLD_START_DAYS))
-    new = read_range(spark, src, watermark - dt.timedelta(days=lookback), run_date)
+    watermark = read_watermark(spark, control)
+    if watermark is None:
+        since = dt.date.min if start is None else as_date(start)
+    else:
+        since = watermark - dt.timedelta(days=lookback)
+    new = read_range(spark, src, since, run_date, undated=True)
 
     seen = Observation()
     loaded = dedup_latest(new, DEDUP_KEYS).observe(seen, F.max("event_date").alias("last_date"))
     overwrite_partitions(by_day(loaded), dst)
     last = seen.get["last_date"]
-    if last is not None and last > watermark:
+    if last is not None and (watermark is None or last > watermark):
         write_watermark(spark, control, last)
     return last
 

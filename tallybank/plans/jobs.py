@@ -71,7 +71,7 @@ def run_pipeline(spark: SparkSession, bank: Bank, cfg: PipelineConfig) -> DataFr
 
     raw = bank.transaction
     if cfg.start is not None or cfg.end is not None:
-        raw = in_range(raw, cfg.start or dt.date.min, cfg.end or dt.date.max)
+        raw = in_range(raw, cfg.start or dt.date.min, cfg.end or dt.date.max, undated=True)
 
     # One pass: valid and rejected rows land in different partitions, so later steps read only theirs.
     read, kept, checked = Observation(), Observation(), Observation()

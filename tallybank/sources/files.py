@@ -47,10 +47,18 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def in_range(df: DataFrame, start: dt.date | str, end: dt.date | str, column: str = "event_date") -> DataFrame:
-    """Rows between two dates, both included; on a partition column Spark opens only those partitions."""
-    return df.filter(F.col(column).between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
+def in_range(
+    df: DataFrame, start: dt.date | str, end: dt.date | str, column: str = "event_date", undated: bool = False
+) -> DataFrame:
+    """Rows between two dates, both included; on a partition column Spark opens only those partitions.
+
+    Rows without a date are in no range; with `undated` they come along, so that rules can reject them.
+    """
+    within = F.col(column).between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"))
+    return df.filter(within | F.col(column).isNull() if undated else within)
 
 
-def read_range(spark: SparkSession, path: str, start: dt.date | str, end: dt.date | str) -> DataFrame:
-    return in_range(read_table(spark, path), start, end)
+def read_range(
+    spark: SparkSession, path: str, start: dt.date | str, end: dt.date | str, undated: bool = False
+) -> DataFrame:
+    return in_range(read_table(spark, path), start, end, undated=undated)

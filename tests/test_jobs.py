@@ -65,6 +65,21 @@ def test_incremental_load(spark, bank, stored, tmp_path):
     assert incremental.read_watermark(spark, control, cold) == last
 
 
+def test_first_load_takes_every_day_and_undated_rows(spark, tmp_path):
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    add(spark, src, dict(transaction_id=1, event_ts="2019-03-01 10:00:00"))
+    add(spark, src, dict(transaction_id=2, event_ts="2024-01-05 10:00:00"))
+    txn(spark, dict(transaction_id=3)).drop("event_date").write.mode("append").parquet(
+        f"{src}/event_date=__HIVE_DEFAULT_PARTITION__"
+    )
+    for _ in range(2):
+        assert incremental.incremental_load(spark, src, dst, "2024-01-10") == dt.date(2024, 1, 5)
+        assert sorted(r[0] for r in read_table(spark, dst).select("transaction_id").collect()) == [1, 2, 3]
+    later = str(tmp_path / "later")
+    incremental.incremental_load(spark, src, later, "2024-01-10", start="2024-01-01")
+    assert sorted(r[0] for r in read_table(spark, later).select("transaction_id").collect()) == [2, 3]
+
+
 def test_daily_loads_equal_one_full_load(spark, bank, tmp_path):
     """Rows arrive by ingest date, up to three days late; a load after each day ends at the full result."""
     src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
