@@ -236,6 +236,20 @@ def test_op8_exact_and_fuzzy_passages(spark, awkward):
     assert op8_passages.passages(empty(spark)).count() == 0
 
 
+def test_op8_finds_short_passages_with_many_changed_words(spark):
+    draw, texts, wanted = random.Random(31), [], {}
+    cases = [(n, edits) for n in (50, 65, 80) for edits in (0.10, 0.15, 0.20) for _ in range(20)]
+    for n, edits in cases:
+        first, passage, later = (text.split() for text in sentences(draw.random(), 3, size=n))
+        changed = set(draw.sample(range(2, n - 2), int(n * edits)))
+        texts += [" ".join(first + passage), " ".join(later + [f"new{k}" if k in changed else w for k, w in enumerate(passage)])]
+        wanted[len(texts) - 1] = edits
+    found = {r.doc_id for r in op8_passages.passages(make(spark, texts)).collect()}
+    for edits, least in ((0.10, 1.0), (0.15, 0.98), (0.20, 0.90)):
+        ids = {doc for doc, e in wanted.items() if e == edits}
+        assert len(ids & found) >= least * len(ids), (edits, len(ids & found), len(ids))
+
+
 def test_op8_best_chain_is_as_good_as_brute_force():
     draw = np.random.default_rng(2)
     for _ in range(30):
