@@ -250,6 +250,20 @@ def test_op8_finds_short_passages_with_many_changed_words(spark):
         assert len(ids & found) >= least * len(ids), (edits, len(ids & found), len(ids))
 
 
+def test_op8_finds_passages_that_repeat_within_themselves(spark):
+    stretches = ["la " * 93, "one two three " * 31, "tick tock " * 150, " ".join(f"w{k}" for k in range(20)) + " "]
+    stretches[3] *= 5
+    for stretch in stretches:
+        a, b, c, d = sentences(len(stretch), 4, size=50)
+        n, short = len(stretch.split()), " ".join(stretch.split()[:24])
+        docs = make(spark, [f"{short} {d}", f"{a} {stretch}{b}", f"{c} {short} {d} {stretch}{a}", f"{stretch}{c} {stretch}"])
+        covered = {}
+        for r in op8_passages.passages(docs).collect():
+            covered.setdefault(r.doc_id, set()).update(range(r.start_word, r.start_word + r.n_words))
+        assert set(range(124, 124 + n)) <= covered[2], stretch[:20]
+        assert set(range(n)) | set(range(n + 50, 2 * n + 50)) <= covered[3], stretch[:20]
+
+
 def test_op8_best_chain_is_as_good_as_brute_force():
     draw = np.random.default_rng(2)
     for _ in range(30):
