@@ -264,6 +264,20 @@ def test_op8_finds_passages_that_repeat_within_themselves(spark):
         assert set(range(n)) | set(range(n + 50, 2 * n + 50)) <= covered[3], stretch[:20]
 
 
+def test_op8_two_passages_of_one_pair_are_both_found(spark):
+    cases, texts = [(60, 60), (60, 150), (60, 300), (100, 40), (100, 500), (300, 1000)], []
+    for size, gap in cases:
+        one, two = sentences(size + gap, 2, size=size)
+        texts += [f"{one} {between} {two}" for between in sentences(size - gap, 2, size=gap)]
+    found = {}
+    for r in op8_passages.passages(make(spark, texts)).collect():
+        found.setdefault(r.doc_id, []).append((r.start_word, r.n_words, r.similarity))
+    for k, (size, gap) in enumerate(cases):
+        spans = sorted(found[2 * k + 1])
+        assert len(spans) == 2 and all(abs(n - size) <= 3 and similarity > 0.95 for _, n, similarity in spans), (size, gap, spans)
+        assert spans[0][0] == 0 and abs(spans[1][0] - size - gap) <= 3
+
+
 def test_op8_best_chain_is_as_good_as_brute_force():
     draw = np.random.default_rng(2)
     for _ in range(30):
