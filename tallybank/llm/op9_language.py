@@ -6,8 +6,9 @@ frequency of its n-grams of the longest length of which at least one is known. T
 ties to the smaller name; the score is its share after a softmax whose temperature grows with the number of words, so
 long texts do not all get exactly 1.
 
-The model knows the `words` words and the `grams` n-grams of each length that have the largest share in some language,
-so its size has a bound and it can be broadcast; the counts behind it cover all training texts. Words longer
+The model knows every word and n-gram of the training texts, in two stored tables. The `words` most frequent words and
+the totals by language are also broadcast, which is faster and gives the same results: only the other distinct words of
+a text are looked up by a join, each distinct word once, with the n-grams of those that training did not see. Words longer
 than MOST_LETTERS letters are read in pieces of that length. Null texts and texts without a letter get `und` and score
 0, as do all texts if nothing could be learned. Columns other than doc_id, text and lang are not read.
 """
@@ -24,57 +25,33 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybank.llm.stored import stored
+
 LONGEST = 5
 MOST_LETTERS = 40
-WORDS, GRAMS = 100_000, 30_000
-LEAST = 2
+WORDS, SHARED_NUMBERS = 100_000, 8_000_000
+SHORT = 2
 _WORD = regex.compile(r"\p{L}{1,%d}" % MOST_LETTERS)
 _FLUSH = 200_000
 
 
 @dataclass
 class Model:
-    """Log frequencies: one row per known word or n-gram, one column per language."""
+    """Counts of words and n-grams as what they add to the log frequency of half a count, by place of the language."""
 
     languages: list[str]
-    words: dict[str, int]
-    word_logs: np.ndarray
-    grams: list[dict[str, int]]
-    gram_logs: list[np.ndarray]
-
-    def add_unseen(self, word: str, rows: list[list[int]], shares: list[list[float]]) -> None:
-        """Note the rows of the word's longest known n-grams, which share one vote."""
-        padded = f" {word} "
-        for size in range(min(LONGEST, len(padded)), 0, -1):
-            known = self.grams[size - 1]
-            found = [known[g] for i in range(len(padded) - size + 1) if (g := padded[i : i + size]) in known]
-            if found:
-                rows[size - 1] += found
-                shares[size - 1] += [1 / len(found)] * len(found)
-                return
-
-    def logs_of(self, words: list[str]) -> np.ndarray:
-        """The sum over all words, by language."""
-        rows, shares, seen = [[] for _ in self.grams], [[] for _ in self.grams], []
-        for word in words:
-            row = self.words.get(word)
-            if row is None:
-                self.add_unseen(word, rows, shares)
-            else:
-                seen.append(row)
-        total = self.word_logs[seen].sum(axis=0, dtype=float)
-        for logs, at, share in zip(self.gram_logs, rows, shares, strict=True):
-            if at:
-                total += np.array(share) @ logs[at]
-        return total
+    half: np.ndarray
+    frequent: dict[str, int]
+    frequent_adds: np.ndarray
+    words: DataFrame | None = None
+    grams: DataFrame | None = None
 
     def language(self, text: str) -> tuple[str, float]:
-        words = words_of(text)
-        if not words or not self.languages:
+        if not self.languages:
             return "und", 0.0
-        total = self.logs_of(words)
-        best = int(np.argmax(total))
-        return self.languages[best], float(1 / np.exp((total - total[best]) / len(words) ** 0.5).sum())
+        one = self.words.sparkSession.createDataFrame([(0, text)], "doc_id long, text string")
+        row = predict(one, self).first()
+        return row["lang_pred"], row["score"]
 
 
 def words_of(text: str) -> list[str]:
@@ -104,17 +81,25 @@ def count_words(docs: DataFrame) -> DataFrame:
     return known.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def count_grams(counted: DataFrame) -> DataFrame:
-    """(lang, gram, n) of the counted words with a space at either end, each weighed by how often it was seen."""
-    padded = counted.select("lang", F.concat(F.lit(" "), "word", F.lit(" ")).alias("word"), "n")
-    sizes = [
+def grams_of(words: DataFrame, kept: list[str], sizes: list[int]) -> DataFrame:
+    """`kept` columns and each n-gram of the word with a space at either end."""
+    padded = words.select(*kept, F.concat(F.lit(" "), "word", F.lit(" ")).alias("padded"))
+    found = [
         F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length("word") - size + 1, F.lit(1))),
-            lambda at, size=size: F.substr("word", at, F.lit(size)),
+            F.sequence(F.lit(1), F.greatest(F.length("padded") - size + 1, F.lit(1))),
+            lambda at, size=size: F.substr("padded", at, F.lit(size)),
         )
-        for size in range(1, LONGEST + 1)
+        for size in sizes
     ]
-    return padded.select("lang", "n", F.explode(F.flatten(F.array(*sizes))).alias("gram")).groupBy("lang", "gram").agg(
+    grams = padded.select(*kept, F.posexplode(F.array(*found)).alias("place", "grams"))
+    sized = grams.withColumn("size", F.element_at(F.array(*map(F.lit, sizes)), F.col("place") + 1))
+    # A word that is shorter than the length gives one shorter run, which counts with its own length only.
+    return sized.select(*kept, "size", F.explode("grams").alias("gram")).filter(F.length("gram") == F.col("size"))
+
+
+def count_grams(counted: DataFrame) -> DataFrame:
+    """(lang, size, gram, n) of the counted words, each weighed by how often it was seen."""
+    return grams_of(counted, ["lang", "n"], list(range(1, LONGEST + 1))).groupBy("lang", "size", "gram").agg(
         F.sum("n").alias("n")
     )
 
@@ -123,51 +108,123 @@ def totals_of(counts: DataFrame) -> dict[str, int]:
     return {row["lang"]: row["n"] for row in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
 
 
-def most_frequent(counts: DataFrame, key: str, totals: dict[str, int], most: int) -> DataFrame:
-    """Rows of the `most` keys with the largest share of the words of some language."""
-    share = F.col("n") / F.create_map(*[F.lit(x) for pair in totals.items() for x in pair])[F.col("lang")]
-    shares = counts.groupBy(key).agg(F.sum("n").alias("total"), F.max(share).alias("share"))
-    chosen = shares.filter(F.col("total") >= LEAST).orderBy(F.desc("share"), key).limit(most)
-    return counts.join(F.broadcast(chosen.select(key)), key)
+def by_key(counts: DataFrame, key: str, languages: list[str]) -> DataFrame:
+    """Each key once, with how often it was seen in all and what it adds in the languages that have it."""
+    place = F.create_map(*[F.lit(x) for pair in zip(languages, range(len(languages)), strict=True) for x in pair])
+    entry = F.struct(place[F.col("lang")].alias("lang"), F.log(2 * F.col("n") + 1).alias("add"))
+    return counts.groupBy(key).agg(F.sum("n").alias("total"), F.sort_array(F.collect_list(entry)).alias("entries"))
 
 
-def logs(counts: DataFrame, key: str, totals: dict[str, int]) -> tuple[dict[str, int], np.ndarray]:
-    """Rows by key, and log frequencies with half a count for what a language has not seen."""
-    table, column = counts.select("lang", key, "n").toArrow(), {lang: i for i, lang in enumerate(sorted(totals))}
-    names, langs = table[key].to_pylist(), table["lang"].to_pylist()
-    keys = {name: i for i, name in enumerate(sorted(set(names)))}
-    values = np.full((len(keys), len(column)), 0.5)
-    values[[keys[name] for name in names], [column[lang] for lang in langs]] += table["n"].to_numpy()
-    return keys, np.log(values / np.array([totals[lang] + 1.0 for lang in column])).astype(np.float32)
+def most_frequent(words: DataFrame, most: int) -> DataFrame:
+    """About `most` of the most frequent words, at most as many: those from some frequency on."""
+    step = F.floor(F.log2("total") * 16)
+    least, taken = None, 0
+    for row in words.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        taken += row["count"]
+        if taken > most:
+            break
+        least = row["step"]
+    return words.filter(F.lit(False) if least is None else step >= least)
 
 
-def learn(counted: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
-    """`counted` is read several times: pass a stored table of `count_words`. N-grams come from the known words."""
+def learn(counted: DataFrame, words: int = WORDS) -> Model:
+    """`counted` is read several times: pass a stored table of `count_words`. `words` are broadcast at most."""
     totals = totals_of(counted)
     if not totals:
-        return Model([], {}, np.zeros((0, 0), np.float32), [{}] * LONGEST, [np.zeros((0, 0), np.float32)] * LONGEST)
-    known = most_frequent(counted, "word", totals, words).cache()
-    word_rows, word_logs = logs(known, "word", totals)
-    all_grams, gram_rows, gram_logs = count_grams(known).cache(), [], []
-    for size in range(1, LONGEST + 1):
-        of_size = all_grams.filter(F.length("gram") == size)
-        sums = dict.fromkeys(totals, 0) | totals_of(of_size)
-        rows, values = logs(most_frequent(of_size, "gram", {k: max(n, 1) for k, n in sums.items()}, grams), "gram", sums)
-        gram_rows.append(rows)
-        gram_logs.append(values)
-    for kept in (known, all_grams):
-        kept.unpersist()
-    return Model(sorted(totals), word_rows, word_logs, gram_rows, gram_logs)
+        return Model([], np.zeros((LONGEST + 1, 0)), {}, np.zeros((0, 0), np.float32))
+    languages = sorted(totals)
+    known, _ = stored(by_key(counted, "word", languages), "language-known")
+    gram_counts, _ = stored(count_grams(counted), "language-gram-counts")
+    grams, _ = stored(by_key(gram_counts, "gram", languages).drop("total"), "language-grams")
+    sums = np.zeros((LONGEST + 1, len(languages)))
+    sums[0] = [totals[lang] for lang in languages]
+    for row in gram_counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect():
+        sums[row["size"], languages.index(row["lang"])] = row["n"]
+    shared = most_frequent(known, min(words, SHARED_NUMBERS // len(languages))).toArrow()
+    adds, entries = np.zeros((shared.num_rows, len(languages)), np.float32), shared["entries"].combine_chunks()
+    rows = np.repeat(np.arange(shared.num_rows), np.diff(entries.offsets.to_numpy()))
+    flat = entries.flatten()
+    adds[rows, flat.field("lang").to_numpy()] = flat.field("add").to_numpy(zero_copy_only=False)
+    frequent = {word: i for i, word in enumerate(shared["word"].to_pylist())}
+    return Model(languages, np.log(0.5 / (sums + 1.0)), frequent, adds, known, grams)
+
+
+def sum_shared(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, number of words, how many of them are broadcast and what these add, and the other distinct words."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.frequent, model.frequent_adds))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, adds = shared.value
+        for batch in batches:
+            columns = [[] for _ in range(5)]
+            for i in range(batch.num_rows):
+                words = words_of(batch["text"][i].as_py() or "")
+                rows = [row for word in words if (row := frequent.get(word)) is not None]
+                rest = Counter(word for word in words if word not in frequent) if len(rows) < len(words) else {}
+                found = len(words), len(rows), adds[rows].sum(axis=0, dtype=float), list(rest), list(rest.values())
+                for column, value in zip(columns, found, strict=True):
+                    column.append(value)
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.string()), pa.list_(pa.int64())]
+            arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+            yield pa.record_batch([batch["doc_id"], *arrays], names=["doc_id", "n_words", "shared", "sums", "rest", "times"])
+
+    columns = docs.select(F.col("doc_id").cast("long"), "text")
+    return columns.mapInArrow(
+        run, "doc_id long, n_words long, shared long, sums array<double>, rest array<string>, times array<long>"
+    )
+
+
+def look_up(words: DataFrame, model: Model) -> DataFrame:
+    """(word, size, entries) of distinct words: size 0 for a known one, else that of its longest known n-grams."""
+    looked, _ = stored(words.join(model.words.select("word", "entries"), "word", "left"), "language-looked")
+    known = looked.filter("entries is not null").select("word", F.lit(0).alias("size"), "entries")
+    unseen = looked.filter("entries is null").select("word")
+    found = [known]
+    # Short n-grams are in very many words; only words without longer ones get there.
+    for sizes in (range(SHORT + 1, LONGEST + 1), range(1, SHORT + 1)):
+        matched = grams_of(unseen, ["word"], list(sizes)).join(model.grams, "gram")
+        by_size = matched.groupBy("word", "size").agg(
+            F.count("*").alias("n"), F.sort_array(F.flatten(F.collect_list("entries"))).alias("all")
+        )
+        longest = by_size.groupBy("word").agg(F.max(F.struct("size", "n", "all")).alias("m"))
+        mean = F.transform("m.all", lambda e: F.struct(e["lang"].alias("lang"), (e["add"] / F.col("m.n")).alias("add")))
+        placed, _ = stored(longest.select("word", F.col("m.size").alias("size"), mean.alias("entries")), "language-unseen")
+        found.append(placed)
+        unseen = unseen.join(placed.select("word"), "word", "left_anti")
+    return found[0].union(found[1]).union(found[2])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of each whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    if not model.languages:
+        return docs.select(F.col("doc_id").cast("long"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    first, _ = stored(sum_shared(docs, model).withColumn("row", F.monotonically_increasing_id()), "language-shared")
+    pairs = first.select("row", F.explode(F.arrays_zip("rest", "times")).alias("w"))
+    rest = pairs.select("row", F.col("w.rest").alias("word"), F.col("w.times").alias("n"))
+    scored = rest.join(look_up(rest.select("word").distinct(), model), "word")
+    parts = scored.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("word", "n", "size", "entries"))).alias("parts"))
+    slim = F.transform("parts", lambda p: p.dropFields("word")).alias("parts")
+    joined = first.drop("rest", "times").join(parts.select("row", slim), "row", "left")
+    languages, half = model.languages, model.half
+
+    def judge(n: int, shared: int, sums: np.ndarray, parts: list[dict]) -> tuple[str, float]:
+        if not n:
+            return "und", 0.0
+        total, votes = sums.copy(), np.zeros(len(half))
+        votes[0] = shared
+        for part in parts:
+            votes[part["size"]] += part["n"]
+            for entry in part["entries"]:
+                total[entry["lang"]] += part["n"] * entry["add"]
+        total += votes @ half
+        best = int(np.argmax(total))
+        return languages[best], float(1 / np.exp((total - total[best]) / n**0.5).sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for batch in batches:
-            found = [known.language(batch["text"][i].as_py() or "") for i in range(batch.num_rows)]
+            n, shared, parts = (batch[c].to_pylist() for c in ("n_words", "shared", "parts"))
+            sums = (batch["sums"][i].values.to_numpy() for i in range(batch.num_rows))
+            found = [judge(*x[:3], x[3] or []) for x in zip(n, shared, sums, parts, strict=True)]
             langs, scores = zip(*found, strict=True) if found else ((), ())
             yield pa.record_batch(
                 {
@@ -177,5 +234,5 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 }
             )
 
-    columns = docs.select(F.col("doc_id").cast("long"), "text")
+    columns = joined.select("doc_id", "n_words", "shared", "sums", "parts")
     return columns.mapInArrow(run, "doc_id long, lang_pred string, score double")

@@ -303,6 +303,20 @@ def test_op9_known_unseen_and_nothing(spark, awkward):
     assert op9_language.learn(op9_language.count_words(empty(spark))).language("abc") == ("und", 0.0)
 
 
+def test_op9_knows_every_word_however_many_are_broadcast(spark):
+    rows = [(i, "alaman kalama lamana", "xx", "s", 0) for i in range(30)] + [(30, "kalamana gurk", "yy", "s", 0)]
+    rows += [(40 + i, f"{t} gurk zzz", "yy" if i % 2 else "xx", "s", 0) for i, t in enumerate(sentences(4, 20))]
+    docs = spark.createDataFrame(rows, DOCS)
+    counted = op9_language.count_words(docs).localCheckpoint()
+    none, some, every = (op9_language.learn(counted, words=n) for n in (0, 10, 10_000))
+    assert not none.frequent and 0 < len(some.frequent) <= 10 < len(every.frequent)
+    assert {none.language("kalamana")[0], every.language("kalamana")[0]} == {"yy"}
+    texts = make(spark, ["kalamana", "schlamana", "12", "q", *sentences(5, 8), *(row[1] for row in rows)])
+    found = [{r.doc_id: (r.lang_pred, r.score) for r in op9_language.predict(texts, m).collect()} for m in (none, some, every)]
+    for doc, (lang, score) in found[0].items():
+        assert all(f[doc][0] == lang and abs(f[doc][1] - score) < 1e-5 for f in found[1:])
+
+
 def brute_components(texts):
     sets = []
     for text in texts:
