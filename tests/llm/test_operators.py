@@ -278,6 +278,15 @@ def test_op8_two_passages_of_one_pair_are_both_found(spark):
         assert spans[0][0] == 0 and abs(spans[1][0] - size - gap) <= 3
 
 
+def test_op8_parts_follow_the_requests_of_a_document(spark):
+    ids = [1] * 9_000 + [2] * 30
+    requests = spark.createDataFrame([(k, i, 0, 3) for k, i in enumerate(ids)], "chain long, id long, low int, high int")
+    sizes = {(r.id, r.part): r["count"] for r in op8_passages.with_parts(requests).groupBy("id", "part").count().collect()}
+    assert sum(i == 1 for i, _ in sizes) == 5 and sizes[2, 0] == 30 and max(sizes.values()) < 1.2 * op8_passages.ASKS
+    found = op8_passages.slices(requests, make(spark, ["x", "a b c d", "e f"])).collect()
+    assert sorted(r.chain for r in found) == list(range(len(ids))) and {len(r.words) for r in found} == {3, 2}
+
+
 def test_op8_best_chain_is_as_good_as_brute_force():
     draw = np.random.default_rng(2)
     for _ in range(30):
