@@ -20,6 +20,7 @@ from tallybank.llm import (
     op8_passages,
     op9_language,
     op10_ngram_join,
+    op13_manifest,
     folds,
 )
 from tallybank.llm.stored import short_batches, stored
@@ -101,6 +102,13 @@ def op8_passages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_passages.passages(table(spark, sf_dir, "documents"))
 
 
+def op13_manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    sources, top = op13_manifest.manifest(op13_manifest.leaves(table(spark, sf_dir, "documents"), tampered))
+    proofs = op13_manifest.verified(op13_manifest.prove(sources, top))
+    return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files_query,
     "op3_toxicity": op3_toxicity_query,
@@ -112,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_join": op10_ngram_join_query,
     "op4_pieces": op4_pieces_query,
     "op8_passages": op8_passages_query,
+    "op13_manifest": op13_manifest_query,
 }
 
 
