@@ -20,6 +20,8 @@ from tallybank.llm import (
     op8_passages,
     op9_language,
     op10_ngram_join,
+    op11_packing,
+    op12_repair,
     op13_manifest,
     folds,
 )
@@ -102,6 +104,30 @@ def op8_passages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_passages.passages(table(spark, sf_dir, "documents"))
 
 
+def op11_packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return op11_packing.pack(op11_packing.pieces(table(spark, sf_dir, "documents"), tokenizer, end_id=2))
+
+
+def op12_repair_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    repaired = op12_repair.repair(op12_repair.damaged(conversations))
+    summary, _ = stored(repaired.summary, "conversation-summary")
+    repaired.summary = summary
+    hashed = repaired.digests().select(F.col("conv_id").alias("hashed"), "sha256")
+    left = summary.join(hashed, F.col("conv_id").eqNullSafe(F.col("hashed")))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = left.select(F.col("conv_id").alias("found"), *numbers, "audit", "sha256")
+    ids = conversations.select("conv_id").distinct()
+    empty = {"audit": F.lit(""), "sha256": F.sha2(F.lit("").cast("binary"), 256)}
+    return ids.join(found, F.col("conv_id").eqNullSafe(F.col("found")), "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", empty["audit"]).alias("audit"),
+        F.coalesce("sha256", empty["sha256"]).alias("repaired_sha256"),
+    )
+
+
 def op13_manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
     sources, top = op13_manifest.manifest(op13_manifest.leaves(table(spark, sf_dir, "documents"), tampered))
@@ -120,6 +146,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_join": op10_ngram_join_query,
     "op4_pieces": op4_pieces_query,
     "op8_passages": op8_passages_query,
+    "op11_packing": op11_packing_query,
+    "op12_repair": op12_repair_query,
     "op13_manifest": op13_manifest_query,
 }
 
