@@ -1,7 +1,7 @@
 with feed as (
   select customer_id, open_date + 60 as day,
          max(case when balance < 0 then 'High' when balance < 5000 then 'Medium' else 'Low' end) as tier
-  from bank_account where customer_id > 0 and open_date >= date '2023-06-02' group by 1, 2
+  from bank_account where customer_id > 0 and account_type is not null group by 1, 2
 ), opened as (
   select * from bank_customer_scd2 where is_current
 ), steps as (

@@ -23,23 +23,9 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
 
 
-def hottest(
-    counts: DataFrame, key: str | Sequence[str], min_rows: int = HOT_ROWS, top: int = TOP_KEYS
-) -> DataFrame:
-    """The keys of a frame with `key_rows` to treat as hot: at most `top` of them."""
-    keys = [key] if isinstance(key, str) else key
-    return counts.filter(F.col("key_rows") >= min_rows).orderBy(F.desc("key_rows"), *keys).limit(top)
-
-
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, top: int = TOP_KEYS) -> DataFrame:
-    """`key, key_rows` of the hot keys of a frame."""
-    return hottest(key_counts(df, key), key, min_rows, top)
-
-
-def mark_hot(df: DataFrame, hot: DataFrame, key: str, rows: str) -> DataFrame:
-    """Add the row count of hot keys, NULL for all others; a NULL key may be hot too."""
-    listed = F.broadcast(hot.select(F.col(key).alias("_hot_key"), F.col("key_rows").alias(rows)))
-    return df.join(listed, df[key].eqNullSafe(listed["_hot_key"]), "left").drop("_hot_key")
+    """`key, key_rows` of the keys of a frame to treat as hot: at most `top` of them."""
+    return key_counts(df, key).filter(F.col("key_rows") >= min_rows).orderBy(F.desc("key_rows"), key).limit(top)
 
 
 def plain_key(column: str) -> dict[str, Column]:

@@ -1,8 +1,8 @@
 """Per-account windows that stay parallel when one account holds most of the rows.
 
-A plain window puts an account into one task. Here a hot account is cut into time slots, or rows are
-first summed per second, and the pieces are put together again; results equal the plain form, which
-`skew_safe=False` gives for comparison.
+A plain window puts an account into one task. Here an account is cut into days and counted pieces of busy
+days, or rows are first summed per second, and the pieces are put together again; results equal the plain
+form, which `skew_safe=False` gives for comparison.
 """
 
 from __future__ import annotations
@@ -13,14 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybank.functions.money import exact_sum, in_currency, mean
-from tallybank.functions.skew import hot_keys, hottest, mark_hot, plain_key
+from tallybank.functions.skew import plain_key
+from tallybank.session import use_checkpoints
 
-SLOT_SECONDS = 60
-BUSY_ROWS = 1_000_000
-BLOCK_IDS = 1_000_000
+PIECE_ROWS = 1_000_000
 BUCKET_SECONDS = 3600
 NO_VALUE = -(1 << 62)
-MINUTE = ["_key", "_no_key", "_date", "_minute"]
+DAY = ["_key", "_no_key", "_date"]
 BALANCE_COLUMNS = ["account_id", "transaction_id", "event_date", "amount", "running_balance", "txn_rank"]
 
 
@@ -38,11 +37,25 @@ def total_order(df: DataFrame, *first: str) -> list[str]:
     return [*first, *[c for c in df.columns if c not in first]]
 
 
-def running_balance(df: DataFrame, frame: str = "range", skew_safe: bool = True) -> DataFrame:
+def plus(*amounts: str) -> Column:
+    """Sum of those that are not NULL; NULL if all are."""
+    total = F.col(amounts[0])
+    for amount in map(F.col, amounts[1:]):
+        total = F.coalesce(total + amount, total, amount)
+    return total
+
+
+def running_balance(
+    df: DataFrame, frame: str = "range", skew_safe: bool = True, piece_rows: int = PIECE_ROWS
+) -> DataFrame:
     """Cumulative amount and rank per account in time order.
 
     frame "range": rows with the same event_ts share one total. frame "rows": they are added one by
     one, ordered by transaction_id. Ranks are always one by one.
+
+    Prefix sums are taken level by level: over the rows of a piece, over the pieces of a day, and over the
+    days of an account. A piece is an account's day, or a part of one that has more than `piece_rows` rows;
+    see `cut_days`. Only days and pieces, never the rows of an account, meet in one task.
     """
     if frame not in ("range", "rows"):
         raise ValueError("frame must be 'range' or 'rows'")
@@ -59,76 +72,104 @@ def running_balance(df: DataFrame, frame: str = "range", skew_safe: bool = True)
             }
         ).select(*BALANCE_COLUMNS)
 
-    slotted = cut_slots(rows)
-    slot = ["_slot", *MINUTE, "_moment", "_block"]
-    within = Window.partitionBy(*slot)
-    local = slotted.withColumn("_local_rank", F.row_number().over(within.orderBy(*ranking))).withColumn(
-        "_local", _cumulative(within.orderBy(*ordering), frame)
-    )
-
-    totals = slotted.filter("_hot_rows is not null").groupBy(*slot, "_busy").agg(
-        exact_sum("amount").alias("_amount"), F.count(F.lit(1)).alias("_rows")
-    )
-    account = Window.partitionBy("_key", "_no_key")
-    in_order = account.orderBy("_date", "_minute", "_moment", "_block")
-    before = F.sum("_amount").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    rows_before = F.sum("_rows").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    if frame == "range":
-        # Rows of one moment share a total, also across its blocks: take it from the slots alone.
-        moments = account.orderBy("_date", "_minute", "_moment")
-        through = F.sum("_amount").over(moments.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-        before = F.when(F.col("_busy"), through).otherwise(before)
-        local = local.withColumn("_local", F.when(~F.col("_busy"), F.col("_local")))
-    offsets = totals.select(*slot, before.alias("_before"), rows_before.alias("_rows_before"))
-
-    # NULL only when neither part has seen an amount.
-    balance = F.coalesce(F.col("_before") + F.col("_local"), F.col("_before"), F.col("_local"))
-    return (
-        local.join(offsets, slot, "left")
-        .withColumns(
-            {
-                "running_balance": in_currency(balance),
-                "txn_rank": (F.col("_local_rank") + F.coalesce("_rows_before", F.lit(0))).cast("int"),
-            }
-        )
-        .select(*BALANCE_COLUMNS)
-    )
+    placed, keys, offsets = cut_days(rows, ranking, piece_rows)
+    within = Window.partitionBy(*keys)
+    local = placed.withColumns(
+        {
+            "_local_rank": F.row_number().over(within.orderBy(*ranking)),
+            "_local": _cumulative(within.orderBy(*ordering), frame),
+        }
+    ).join(offsets, keys)
+    if frame == "range" and "_later" in offsets.columns:
+        # A moment that goes on in later pieces of the day has their rows in its total too.
+        later = F.when(F.col("_moment") == F.col("_last"), F.col("_later"))
+        local = local.withColumn("_later", later).withColumn("_local", plus("_local", "_later"))
+    return local.withColumns(
+        {
+            "running_balance": in_currency(plus("_before", "_local")),
+            "txn_rank": (F.col("_local_rank") + F.col("_rows_before")).cast("int"),
+        }
+    ).select(*BALANCE_COLUMNS)
 
 
-def cut_slots(rows: DataFrame) -> DataFrame:
-    """Cut the rows of hot accounts into slots that keep their time order and are small enough for one task.
+def cut_days(rows: DataFrame, ranking: Sequence[Column], piece_rows: int) -> tuple[DataFrame, list[str], DataFrame]:
+    """The rows with the keys of their pieces, and of each piece what comes before it in its account.
 
-    An ordinary account is one slot. A hot one gets a slot per minute, and a busy minute one per moment and
-    block of transaction ids. Slots are grouped by their hash first: it tells sorted rows apart at once,
-    where a hot account's key would tie.
+    Days are totalled first; of an account they are as many as the calendar has. Only where some account's day
+    has more than `piece_rows` rows, the rows of these days are sorted once over all tasks, and the rows that
+    fall into one task are one piece: counted rows, whatever the ids and times are.
     """
-    hot, busy = F.col("_hot_rows").isNotNull(), F.col("_busy")
-
-    def when_known(condition: Column, value: Column) -> Column:
-        return F.when(condition, known(value)).otherwise(0)
-
-    by_minute = mark_hot(rows, hot_keys(rows, "account_id"), "account_id", "_hot_rows").withColumns(
+    spark = rows.sparkSession
+    use_checkpoints(spark)
+    keyed = rows.withColumns(
         {
             **plain_key("account_id"),
-            "_date": when_known(hot, day_number()),
-            "_minute": when_known(hot, F.floor(epoch_second() / SLOT_SECONDS)),
+            "_date": known(day_number()),
+            "_moment": known(F.unix_micros("event_ts")),
         }
     )
-    # Only an account with that many rows can have such a minute; mostly there is none and no row is read.
-    candidates = by_minute.filter(F.col("_hot_rows") >= BUSY_ROWS)
-    minute_rows = candidates.groupBy(*MINUTE).agg(F.count(F.lit(1)).alias("key_rows"))
-    busiest = hottest(minute_rows, MINUTE, BUSY_ROWS).select(*MINUTE, F.lit(True).alias("_listed"))
+    days = (
+        keyed.groupBy(*DAY).agg(exact_sum("amount").alias("_amount"), F.count(F.lit(1)).alias("_rows")).checkpoint()
+    )
+    starts = days.select(*DAY, *_before_each(DAY[:2], "_date"))
+
+    busy = days.filter(F.col("_rows") > piece_rows).select(*DAY, "_rows")
+    busy_rows = busy.agg(F.sum("_rows")).first()[0]
+    if busy_rows is None:
+        return keyed, DAY, starts
+    tasks = -(-2 * busy_rows // piece_rows)
+    in_order = [F.col(c) for c in DAY[:2]] + list(ranking)
+    sorted_rows = (
+        keyed.join(busy.drop("_rows"), DAY, "left_semi")
+        .repartitionByRange(tasks, *in_order)
+        .withColumn("_piece", F.spark_partition_id() + 1)
+        .checkpoint()
+    )
+    calm = keyed.join(busy.drop("_rows"), DAY, "left_anti").withColumn("_piece", F.lit(0))
+    pieces = busy_pieces(sorted_rows).join(starts, DAY)
+    offsets = pieces.select(
+        *DAY,
+        "_piece",
+        plus("_before", "_piece_before").alias("_before"),
+        (F.col("_rows_before") + F.col("_piece_rows_before")).alias("_rows_before"),
+        "_last",
+        "_later",
+    )
+    none = starts.withColumn("_piece", F.lit(0))
+    return calm.unionByName(sorted_rows), [*DAY, "_piece"], none.unionByName(offsets, allowMissingColumns=True)
+
+
+def busy_pieces(rows: DataFrame) -> DataFrame:
+    """Of each piece of a busy day: what the day's earlier pieces hold, its last moment, and `_later`, the amount
+    of that moment in later pieces."""
+    piece = [*DAY, "_piece"]
+    moments = rows.groupBy(*piece, "_moment").agg(exact_sum("amount").alias("_amount"), F.count(F.lit(1)).alias("_rows"))
+    pieces = moments.groupBy(*piece).agg(
+        F.sum("_amount").alias("_amount"),
+        F.sum("_rows").alias("_rows"),
+        F.min("_moment").alias("_first"),
+        F.max("_moment").alias("_last"),
+        F.min_by("_amount", "_moment").alias("_head"),
+    )
+    same_start = Window.partitionBy(*DAY, "_first").orderBy(F.desc("_piece"))
+    following = Window.partitionBy(*DAY).orderBy("_piece")
+    goes_on = F.lead("_first").over(following) == F.col("_last")
+    before, rows_before = _before_each(DAY, "_piece")
+    return pieces.withColumn("_heads", F.sum("_head").over(same_start)).select(
+        *piece,
+        before.alias("_piece_before"),
+        rows_before.alias("_piece_rows_before"),
+        "_last",
+        F.when(goes_on, F.lead("_heads").over(following)).alias("_later"),
+    )
+
+
+def _before_each(keys: Sequence[str], order: str) -> tuple[Column, Column]:
+    """Amount (NULL if none) and rows of everything of the same keys that comes earlier."""
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        by_minute.join(F.broadcast(busiest), MINUTE, "left")
-        .withColumn("_busy", F.coalesce(F.col("_listed"), F.lit(False)))
-        .withColumns(
-            {
-                "_moment": when_known(busy, F.unix_micros("event_ts")),
-                "_block": when_known(busy, F.floor(F.col("transaction_id") / BLOCK_IDS)),
-            }
-        )
-        .withColumn("_slot", F.xxhash64(*MINUTE, "_moment", "_block"))
-        .drop("_listed")
+        F.sum("_amount").over(earlier).alias("_before"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
     )
 
 

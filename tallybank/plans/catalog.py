@@ -187,18 +187,29 @@ def approx_distinct_accounts(bank: Bank) -> DataFrame:
     ).select("exact", (F.abs(F.col("approx") - F.col("exact")) <= F.col("exact") * 0.05).alias("within_5_percent"))
 
 
-def scd2_upsert(bank: Bank) -> DataFrame:
-    """Customer history after a change feed: from each account opened in 2023, its balance sets a new tier.
+def tier_changes(bank: Bank) -> DataFrame:
+    """A change feed: from each account, 60 days after its opening, its balance sets a new tier of its owner.
 
-    A customer with several such accounts has several changes, some of them on one day or without effect.
+    A customer with several accounts has several changes, some of them on one day or without effect. Accounts
+    without an owner give changes without a key, those without a type changes without a date.
     """
-    opened = bank.account.filter((F.col("customer_id") > 0) & (F.col("open_date") >= F.lit("2023-06-02").cast("date")))
     tier = F.when(F.col("balance") < 0, "High").when(F.col("balance") < 5000, "Medium").otherwise("Low")
-    changes = opened.select("customer_id", F.date_add("open_date", 60).alias("change_date"), tier.alias("risk_tier"))
-    history = bank.customer_scd2.select(
+    return bank.account.select(
+        F.when(F.col("customer_id") > 0, F.col("customer_id")).alias("customer_id"),
+        F.when(F.col("account_type").isNotNull(), F.date_add("open_date", 60)).alias("change_date"),
+        tier.alias("risk_tier"),
+    )
+
+
+def tier_history(bank: Bank) -> DataFrame:
+    return bank.customer_scd2.select(
         "customer_id", "first_name", "risk_tier", "effective_start", "effective_end", "is_current", "version"
     )
-    return scd2.scd2_upsert(history, changes, "customer_id", ["risk_tier"])
+
+
+def scd2_upsert(bank: Bank) -> DataFrame:
+    """Customer history after a change feed."""
+    return scd2.scd2_upsert(tier_history(bank), tier_changes(bank), "customer_id", ["risk_tier"])
 
 
 def transactions_with(operator: Callable[[DataFrame], DataFrame]) -> BankQuery:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallybank.operators import layout
-from tallybank.plans.catalog import portable
+from tallybank.plans.catalog import portable, tier_changes, tier_history
+from tallybank.plans.history import apply_feed, create_history, read_history, read_outcomes
 from tallybank.plans.incremental import by_day, incremental_load
 from tallybank.plans.jobs import PipelineConfig, run_pipeline
 from tallybank.session import scratch_path, use_utc
@@ -16,8 +17,9 @@ from tallybank.sinks.tables import write_partitioned
 from tallybank.sources.files import read_table
 from tallybank.views import Bank
 
-# Fixed value: a parameter of the registered runs.
+# Parameters of the registered runs.
 OWNERS = 8
+FEEDS_MEET = "2023-12-15"
 
 JobRun = Callable[[SparkSession, Bank], DataFrame]
 
@@ -79,12 +81,35 @@ def consistent_hash_run(spark: SparkSession, bank: Bank) -> DataFrame:
     )
 
 
+def applied_history(spark: SparkSession, bank: Bank) -> str:
+    """A stored history after two feeds, the changes before FEEDS_MEET and the others; the first one comes twice."""
+    base = scratch_path(spark, "history")
+    changes = tier_changes(bank)
+    later = F.col("change_date") >= F.lit(FEEDS_MEET).cast("date")
+    feeds = {"early": changes.filter(~later | later.isNull()), "late": changes.filter(later)}
+    create_history(spark, base, tier_history(bank))
+    for feed in ("early", "early", "late", "early"):
+        apply_feed(spark, base, feed, feeds[feed], "customer_id", ["risk_tier"])
+    return base
+
+
+def scd2_upsert_run(spark: SparkSession, bank: Bank) -> DataFrame:
+    return read_history(spark, applied_history(spark, bank))
+
+
+def scd2_rejected(spark: SparkSession, bank: Bank) -> DataFrame:
+    """Changes of the feeds that were not applied, and why."""
+    return read_outcomes(spark, applied_history(spark, bank)).filter("outcome <> 'applied'")
+
+
 RUNS: dict[str, JobRun] = {
     "end_to_end_run": end_to_end_run,
     "incremental_load_run": incremental_load_run,
     "incremental_rerun": incremental_rerun,
     "compaction_run": compaction_run,
     "consistent_hash_run": consistent_hash_run,
+    "scd2_upsert_run": scd2_upsert_run,
+    "scd2_rejected": scd2_rejected,
 }
 
 

@@ -165,32 +165,53 @@ def test_running_balance_ties(spark):
 
 
 @pytest.mark.parametrize("frame", ["range", "rows"])
-@pytest.mark.parametrize("busy_rows", [3, 1_000_000])
-def test_running_balance_skew_safe_equals_plain(bank, frame, busy_rows, monkeypatch):
-    many_hot = windows.hot_keys
-    monkeypatch.setattr(windows, "hot_keys", lambda df, key: many_hot(df, key, min_rows=2, top=10))
-    monkeypatch.setattr(windows, "BUSY_ROWS", busy_rows)
-    monkeypatch.setattr(windows, "BLOCK_IDS", 2)
-    safe = windows.running_balance(bank.transaction, frame)
+@pytest.mark.parametrize("piece_rows", [3, 40, 1_000_000])
+def test_running_balance_skew_safe_equals_plain(bank, frame, piece_rows):
+    safe = windows.running_balance(bank.transaction, frame, piece_rows=piece_rows)
     same_rows(safe, windows.running_balance(bank.transaction, frame, skew_safe=False))
 
 
 @pytest.mark.parametrize("frame", ["range", "rows"])
-def test_running_balance_of_one_busy_moment(spark, frame, monkeypatch):
+def test_running_balance_of_one_busy_moment(spark, frame):
     """Most rows of one account at one moment, some without time, id or amount."""
-    many_hot = windows.hot_keys
-    monkeypatch.setattr(windows, "hot_keys", lambda df, key: many_hot(df, key, min_rows=2, top=10))
-    monkeypatch.setattr(windows, "BUSY_ROWS", 5)
-    monkeypatch.setattr(windows, "BLOCK_IDS", 4)
     cases = [dict(transaction_id=i, amount=float(i), event_ts="2024-01-05 00:00:00") for i in range(1, 30)]
     cases += [dict(transaction_id=i, amount=1.0, event_ts=f"2024-01-05 00:00:{i % 60:02}") for i in range(30, 75)]
     cases += [dict(transaction_id=90, event_ts=None, event_date="2024-01-05", ingest_date="2024-01-05")]
     cases += [dict(transaction_id=None, amount=None), dict(transaction_id=91, account_id=None)]
     cases += [dict(transaction_id=i, account_id=None, event_ts="2024-01-06 00:00:00") for i in range(100, 110)]
     df = txn(spark, *cases)
-    safe = windows.running_balance(df, frame)
-    assert windows.cut_slots(df).filter("_busy").count() > 40
+    for piece_rows in (1, 5, 20):
+        safe = windows.running_balance(df, frame, piece_rows=piece_rows)
+        same_rows(safe, windows.running_balance(df, frame, skew_safe=False))
+
+
+@pytest.mark.parametrize("frame", ["range", "rows"])
+def test_running_balance_windows_stay_small(spark, frame):
+    """One account with most rows, all on one day and a third of them at one moment; ids far apart.
+
+    The windows are over the rows of a piece, the pieces of a day and the days of an account: all are counted.
+    """
+    ids = F.col("id")
+    moment = F.when(ids % 3 == 0, F.lit(43_200)).otherwise(ids * 7 % 86_400)
+    df = spark.range(6000).select(
+        F.when(ids % 20 == 0, ids).otherwise(1).alias("account_id"),
+        (F.xxhash64("id") * 1).alias("transaction_id"),
+        F.lit("2024-01-05").cast("date").alias("event_date"),
+        F.timestamp_seconds(F.lit(1_704_412_800) + moment).alias("event_ts"),
+        F.when(ids % 11 != 0, (ids % 1000 - 300) / 4.0).alias("amount"),
+    )
+    piece_rows = 200
+    rows = df.select("account_id", "transaction_id", "event_date", "event_ts", "amount")
+    ranking = [F.asc_nulls_first(c) for c in ("event_date", "event_ts", "transaction_id", "amount", "account_id")]
+    placed, keys, offsets = windows.cut_days(rows, ranking, piece_rows)
+    largest = placed.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    assert largest <= 2 * piece_rows < df.count() / 10
+    busiest = offsets.filter("_piece > 0").groupBy(*windows.DAY).count().agg(F.max("count")).first()[0]
+    assert 6000 / (2 * piece_rows) <= busiest <= 2 * 6000 / piece_rows + 1
+    safe = windows.running_balance(df, frame, piece_rows=piece_rows)
     same_rows(safe, windows.running_balance(df, frame, skew_safe=False))
+    windows_in_plan = safe._jdf.queryExecution().optimizedPlan().toString().count("windowspecdefinition(account_id")
+    assert windows_in_plan == 0
 
 
 @pytest.mark.parametrize("bounds", [(120, 120), (119, 0), (5000, 5000)])
