@@ -22,10 +22,37 @@ def dedup_latest(
     Spark limits each key to one row per input task before the shuffle, so a key with very many copies
     sends one row per task, not all of them.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    newest = Window.partitionBy(*keys, "_alone").orderBy(*[F.desc_nulls_last(c) for c in [*order, *rest]])
-    ranked = apart(df, keys).withColumn("_rank", F.row_number().over(newest))
-    return ranked.filter("_rank = 1").drop("_rank", "_alone")
+    return _one_per_key(df, keys, [F.desc_nulls_last(c) for c in _then_all(df, keys, order)])
+
+
+def dedup_first(
+    df: DataFrame, keys: Sequence[str] = ("transaction_id",), order: Sequence[str] = ("event_ts",)
+) -> DataFrame:
+    """Keep the earliest row per key: `order` ascending, missing values first, then every other column."""
+    return _one_per_key(df, keys, [F.asc_nulls_first(c) for c in _then_all(df, keys, order)])
+
+
+def _then_all(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
+    return [*order, *[c for c in df.columns if c not in keys and c not in order]]
+
+
+def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Rows with an unknown key never enter the shuffle."""
+    first = Window.partitionBy(*keys).orderBy(*order)
+    ranked = df.filter(~unknown(keys)).withColumn("_rank", F.row_number().over(first))
+    return ranked.filter("_rank = 1").drop("_rank").unionByName(df.filter(unknown(keys)))
+
+
+def without_earlier(
+    df: DataFrame, earlier: DataFrame, delay: str | None, key: str = "transaction_id", time: str = "event_ts"
+) -> DataFrame:
+    """Rows of `df` of which `earlier` has no row with the same known key at most `delay` apart (any, if None)."""
+    kept = earlier.select(F.col(key).alias("_key"), F.col(time).alias("_time"))
+    same = F.col(key) == F.col("_key")
+    if delay is not None:
+        near = F.expr(f"interval {delay}")
+        same &= F.col("_time").between(F.col(time) - near, F.col(time) + near)
+    return df.join(kept, same, "left_anti")
 
 
 def unknown(keys: Sequence[str]) -> Column:
@@ -33,14 +60,9 @@ def unknown(keys: Sequence[str]) -> Column:
     return reduce(or_, [F.col(key).isNull() for key in keys])
 
 
-def apart(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Give each row without a known key a number of its own, so that it also spreads over the tasks."""
-    return df.withColumn("_alone", F.when(unknown(keys), F.monotonically_increasing_id()))
-
-
 def dedup_any(df: DataFrame, keys: Sequence[str] = ("transaction_id",)) -> DataFrame:
     """One arbitrary row per known key, for comparison: the survivor is not defined when copies differ."""
-    return apart(df, keys).dropDuplicates([*keys, "_alone"]).drop("_alone")
+    return df.filter(~unknown(keys)).dropDuplicates([*keys]).unionByName(df.filter(unknown(keys)))
 
 
 def dedup_report(df: DataFrame, keys: Sequence[str] = ("transaction_id",)) -> DataFrame:

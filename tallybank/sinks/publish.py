@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterable
 from typing import Any
 
 from pyspark.sql import SparkSession
 
+KEPT = 20
+
 
 def latest(spark: SparkSession, base: str) -> dict[str, Any] | None:
     """The last published state; None before the first."""
@@ -41,6 +44,9 @@ def publish(spark: SparkSession, base: str, state: dict[str, Any]) -> None:
     if place.exists(target) or state["version"] != max(_versions(place, path), default=0) + 1 or not place.rename(draft, target):
         place.delete(draft, False)
         raise RuntimeError(f"version {state['version']} of {base} was published by another job")
+    for version in _versions(place, path):
+        if version <= state["version"] - KEPT:
+            place.delete(_path(spark, f"{base}/log/{version:012d}.json"), False)
 
 
 def _folder(spark: SparkSession, base: str):
@@ -57,3 +63,14 @@ def _versions(place, path) -> list[int]:
         return []
     names = [status.getPath().getName() for status in place.listStatus(path)]
     return [int(name[:-5]) for name in names if name.endswith(".json") and not name.startswith(".")]
+
+
+def make_folder(spark: SparkSession, name: str) -> None:
+    path = _path(spark, name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+
+
+def delete(spark: SparkSession, names: Iterable[str]) -> None:
+    """Remove folders that no published state refers to."""
+    for path in (_path(spark, name) for name in names):
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

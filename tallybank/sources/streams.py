@@ -6,9 +6,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tallybank.schemas import table_schema
+from tallybank.session import scratch_path
+from tallybank.sinks.tables import write_partitioned
 
 
 def stream_table(
@@ -45,3 +47,22 @@ def stream_rate(spark: SparkSession, rps: int = 1000, accounts: int = 1000) -> D
 def land_partition(df: DataFrame, date: dt.date | str, folder: str) -> None:
     """Add one event date to a watched folder, as one day's arrival."""
     df.filter(F.col("event_date") == F.lit(str(date)).cast("date")).write.mode("append").parquet(folder)
+
+
+def land_days(df: DataFrame, folder: str, column: str = "event_date", files: int = 1) -> int:
+    """Land a table a day at a time, in order, each day as `files` files; returns the number of days.
+
+    A stream over the folder that takes `files` times n files per trigger sees n whole days per micro-batch, if no
+    day has fewer rows than files. The table is first stored by day, so that landing a day reads only its rows.
+    """
+    spark = df.sparkSession
+    staged = scratch_path(spark, "days")
+    write_partitioned(df.withColumn("_day", F.col(column)).hint("rebalance", "_day"), staged, ["_day"])
+    schema = StructType([*df.schema.fields, StructField("_day", DateType())])
+    table = spark.read.schema(schema).parquet(staged)
+    # One row per day of the calendar.
+    days = [row[0] for row in table.select("_day").distinct().orderBy("_day").collect()]
+    for day in days:
+        arrived = table.filter(F.col("_day").eqNullSafe(F.lit(day))).drop("_day")
+        arrived.repartition(files).write.mode("append").parquet(folder)
+    return len(days)

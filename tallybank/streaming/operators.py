@@ -44,20 +44,23 @@ def enrich_stream(stream: DataFrame, product: DataFrame, branch: DataFrame) -> D
 
 
 def dedup_stream(stream: DataFrame, bounded: bool = True, delay: str = "3 days", salts: int = 1) -> DataFrame:
-    """One row per transaction_id.
+    """One row per known transaction_id, which one of a micro-batch is Spark's choice; `sinks.start_unique` fixes it.
 
     Bounded: an id is forgotten once the watermark passes it by the delay. Unbounded: every id is kept
     for ever, for comparison only. `salts` above 1 first removes copies per (id, salt), so an id with very
     many copies is not handled by one task; it doubles the state, and near the delay it may drop a copy
-    that the plain form lets through.
+    that the plain form lets through. Rows without an id are no copies of each other: they go around the state.
     """
+    timed = stream.withWatermark("event_ts", delay) if bounded else stream
+    known = timed.filter(F.col("transaction_id").isNotNull())
     if not bounded:
-        return stream.dropDuplicates(["transaction_id"])
-    timed = stream.withWatermark("event_ts", delay)
-    if salts > 1:
-        salted = timed.withColumn("_salt", F.pmod(row_hash(stream.columns), F.lit(salts)))
-        timed = salted.dropDuplicatesWithinWatermark(["transaction_id", "_salt"]).drop("_salt")
-    return timed.dropDuplicatesWithinWatermark(["transaction_id"])
+        unique = known.dropDuplicates(["transaction_id"])
+    else:
+        if salts > 1:
+            salted = known.withColumn("_salt", F.pmod(row_hash(stream.columns), F.lit(salts)))
+            known = salted.dropDuplicatesWithinWatermark(["transaction_id", "_salt"]).drop("_salt")
+        unique = known.dropDuplicatesWithinWatermark(["transaction_id"])
+    return unique.unionByName(timed.filter(F.col("transaction_id").isNull()))
 
 
 def running_totals(stream: DataFrame) -> DataFrame:

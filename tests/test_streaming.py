@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import uuid
 
 import pytest
@@ -9,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tallybank.operators import analytics, quality
 from tallybank.sources.files import read_table
-from tallybank.sources.streams import land_partition, stream_rate, stream_table
+from tallybank.sources.streams import land_days, land_partition, stream_rate, stream_table
 from tallybank.streaming import operators as ops
-from tallybank.streaming import sinks
+from tallybank.streaming import segments, sinks
 from tallybank.streaming.replays import finish
 from tests.conftest import rows, same_rows, txn
 
@@ -160,6 +161,126 @@ def test_replayed_batch_changes_nothing(spark, bank, tmp_path):
     same_rows(sinks.routed_rows(spark, out, "valid"), quality.split_quality(bank.transaction)[0])
 
 
+def folders(path):
+    return sum(len(names) for _, names, _ in os.walk(path))
+
+
+def test_folders_stay_few_over_many_batches(spark, bank, tmp_path, monkeypatch):
+    """50 batches, each of them retried once: the same rows and counts, and folders that do not grow with the batches."""
+    merged = segments.merge_closed
+    monkeypatch.setattr(segments, "merge_closed", lambda *a, **more: merged(*a, **{**more, "fan": 4}))
+    out = str(tmp_path / "out")
+    counted, seen = [], []
+    rows_of = bank.transaction.withColumn("part", F.pmod(F.xxhash64("transaction_id", "event_ts"), F.lit(50)))
+    rows_of = rows_of.coalesce(1).cache()
+    for batch_id in range(50):
+        batch = rows_of.filter(F.col("part") == batch_id).drop("part")
+        for _ in range(2 if batch_id % 7 == 0 else 1):
+            sinks.write_batch(batch, batch_id, out)
+        if batch_id % 12 == 11:
+            counted.append(folders(out))
+            seen.append(sinks.routing_summary(spark, out).first()["total_rows"])
+            assert seen[-1] == rows_of.filter(F.col("part") <= batch_id).count()
+    assert max(counted[1:]) <= counted[0] + 20
+    assert tuple(sinks.routing_summary(spark, out).first()) == tuple(quality.quality_summary(bank.transaction).first())
+    valid, quarantine = quality.split_quality(bank.transaction)
+    same_rows(sinks.routed_rows(spark, out, "valid"), valid)
+    same_rows(sinks.routed_rows(spark, out, "quarantine"), quarantine)
+    rows_of.unpersist()
+
+
+def test_merged_updates_keep_the_last_state(spark, tmp_path):
+    path, schema = str(tmp_path / "updates"), "account_id long, n long"
+    kept = {}
+    for batch_id in range(13):
+        rows_now = [(a, 100 * batch_id + (a or 0)) for a in (1, 2, batch_id, None)]
+        batch = spark.createDataFrame(list(dict(rows_now).items()), schema)
+        kept.update(dict(rows_now))
+        last = lambda rows: sinks._last(rows, ["account_id"])
+        segments.merge_closed(spark, path, batch_id, batch.schema, reduced=last, fan=3)
+        segments.write_recent(batch, batch_id, path)
+    found = {r.account_id: r.n for r in sinks.latest_updates(spark, path, batch.schema, ["account_id"]).collect()}
+    assert found == kept
+    stored = segments.publish.latest(spark, path)["segments"]
+    assert sum(spark.read.parquet(s["path"]).count() for s in stored) < 13 * 4
+
+
+def test_a_merge_that_ends_early_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    for batch_id in range(3):
+        segments.write_recent(spark.createDataFrame([(batch_id,)], "n long"), batch_id, path)
+    schema = spark.createDataFrame([(1,)], "n long").schema
+    before = rows(segments.read_batches(spark, path, schema))
+
+    def crash(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(segments.publish, "publish", crash)
+        with pytest.raises(OSError):
+            segments.merge_closed(spark, path, 3, schema, fan=3)
+    assert rows(segments.read_batches(spark, path, schema)) == before == [(0, 0), (1, 1), (2, 2)]
+    assert segments.merge_closed(spark, path, 3, schema, fan=3)
+    assert rows(segments.read_batches(spark, path, schema)) == before
+
+
+def test_unique_rows_of_stream_and_batch(spark, tmp_path, work):
+    """Whole rows; ids seen again after the delay pass; rows without an id or a time all stay."""
+    out, checkpoint = work
+    folder = str(tmp_path / "feed")
+    arrivals = [
+        [dict(transaction_id=1, amount=2.0), dict(transaction_id=1, amount=1.0), dict(transaction_id=None)],
+        [dict(transaction_id=None), dict(transaction_id=None, amount=3.0), dict(transaction_id=2, event_ts="2024-01-06 01:00:00")],
+        [dict(transaction_id=1, event_ts="2024-01-08 11:59:59"), dict(transaction_id=2, event_ts="2024-01-09 02:00:00")],
+        [dict(transaction_id=1, event_ts="2024-01-08 12:00:01"), dict(transaction_id=3, event_ts=None, event_date="2024-01-08")],
+        [dict(transaction_id=3, event_ts=None, event_date="2024-01-08")],
+    ]
+    for records in arrivals:
+        txn(spark, *records).coalesce(1).write.mode("append").parquet(folder)
+        stream = stream_table(spark, folder)
+        finish(sinks.start_unique(stream, out, checkpoint, once=True))
+    found = sinks.unique_rows(spark, out, stream.schema)
+    shown = sorted(((r.transaction_id, r.amount, str(r.event_ts)) for r in found.collect()), key=repr)
+    assert shown == sorted(
+        [
+            (1, 1.0, "2024-01-05 12:00:00"),
+            (1, 10.0, "2024-01-08 12:00:01"),
+            (2, 10.0, "2024-01-06 01:00:00"),
+            (2, 10.0, "2024-01-09 02:00:00"),
+            (3, 10.0, "None"),
+            (3, 10.0, "None"),
+            (None, 10.0, "2024-01-05 12:00:00"),
+            (None, 10.0, "2024-01-05 12:00:00"),
+            (None, 3.0, "2024-01-05 12:00:00"),
+        ],
+        key=repr,
+    )
+
+
+def test_rows_without_an_id_pass_the_state(spark, tmp_path, work):
+    out, checkpoint = work
+    folder = str(tmp_path / "feed")
+    txn(spark, *[dict(transaction_id=i) for i in (None, None, 1, 1, None)]).coalesce(1).write.parquet(folder)
+    for k, options in enumerate((dict(), dict(salts=3), dict(bounded=False))):
+        stream = ops.dedup_stream(stream_table(spark, folder), **options)
+        finish(sinks.start_parquet(stream, f"{out}{k}", f"{checkpoint}{k}", once=True))
+        ids = [r[0] for r in read_table(spark, f"{out}{k}").select("transaction_id").collect()]
+        assert sorted(ids, key=repr) == [1, None, None, None]
+
+
+def test_days_land_in_order_as_whole_batches(spark, bank, tmp_path):
+    folder = str(tmp_path / "days")
+    days = land_days(bank.transaction, folder, "ingest_date", files=2)
+    same_rows(spark.read.parquet(folder), bank.transaction)
+    seen = []
+    stream = stream_table(spark, folder, bank.transaction.schema, max_files=4)
+    query = stream.writeStream.foreachBatch(lambda b, _: seen.append([r[0] for r in b.select("ingest_date").distinct().collect()]))
+    finish(query.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start())
+    assert [len(batch) for batch in seen[:-1]] == [2] * (len(seen) - 1)
+    flat = [day for batch in seen for day in sorted(batch)]
+    assert flat == sorted(set(flat)) and len(flat) == days
+
+
 def test_dashboard(spark, feed, stream):
     name = f"dashboard_{uuid.uuid4().hex}"
     finish(sinks.dashboard(stream, name, once=True))
