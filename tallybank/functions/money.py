@@ -1,7 +1,9 @@
 """Exact money sums that do not depend on row order.
 
-Amounts are doubles with two decimals. They are summed as whole cents in two 64-bit parts, which stay
-in generated code and cannot overflow below nine trillion rows per group; the parts meet in a decimal.
+Amounts are doubles. They are summed as whole cents in two 64-bit parts, which stay in generated code and
+cannot overflow below nine trillion rows per group; the parts meet in a decimal. An amount with more than two
+decimals is rounded as `decimal(18,2)` rounds it. One that is no finite number, or of 90 trillion or more, is
+unfit: sums, averages and counts leave it out like a missing one.
 """
 
 from __future__ import annotations
@@ -11,12 +13,32 @@ from pyspark.sql import functions as F
 
 PART = 1_000_000
 CENTS = 100
+LARGEST = 9e13
+
+
+def _column(column: str | Column) -> Column:
+    return F.col(column) if isinstance(column, str) else column
+
+
+def is_fit(column: str | Column) -> Column:
+    """Whether an amount can be summed. NaN is greater than any number here."""
+    return F.abs(_column(column)) < LARGEST
 
 
 def cents(column: str | Column) -> Column:
-    """Whole cents of an amount, the nearest ones where it has more decimals."""
-    column = F.col(column) if isinstance(column, str) else column
-    return F.rint(column * CENTS).cast("bigint")
+    """Whole cents of an amount; NULL if it is unfit.
+
+    Two decimals are within a hundredth of a cent of a whole number; only others go through a decimal.
+    """
+    scaled = _column(column) * CENTS
+    near = F.rint(scaled)
+    rounded = (_column(column).cast("decimal(18,2)") * CENTS).cast("bigint")
+    return F.when(is_fit(column), F.when(F.abs(scaled - near) < 0.01, near.cast("bigint")).otherwise(rounded))
+
+
+def fit_count(column: str | Column) -> Column:
+    """Number of amounts that can be summed."""
+    return F.count_if(is_fit(column))
 
 
 def exact_sum(column: str | Column, window=None) -> Column:

@@ -18,7 +18,7 @@ MEDIUM_ABOVE = 500
 def risk_bucket(type_col: str = "transaction_type", amount_col: str = "amount") -> Column:
     kind, amount = F.col(type_col), F.col(amount_col)
     return (
-        F.when(kind.isNull() | amount.isNull(), "UNKNOWN")
+        F.when(kind.isNull() | amount.isNull() | F.isnan(amount), "UNKNOWN")
         .when(amount > CRITICAL_ABOVE, "CRITICAL")
         .when((amount > HIGH_ABOVE) & (kind == HIGH_TYPE), "HIGH")
         .when(amount > MEDIUM_ABOVE, "MEDIUM")
@@ -28,7 +28,7 @@ def risk_bucket(type_col: str = "transaction_type", amount_col: str = "amount")
 
 @F.udf(StringType())
 def risk_bucket_udf(kind, amount):
-    if kind is None or amount is None:
+    if kind is None or amount is None or amount != amount:
         return "UNKNOWN"
     if amount > CRITICAL_ABOVE:
         return "CRITICAL"

@@ -133,9 +133,10 @@ def salted_join(
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
-def bucketed_join(spark: SparkSession, left_table: str, right_table: str, key: str) -> DataFrame:
-    """Join of two tables bucketed alike on the key: no shuffle is planned."""
-    return spark.table(left_table).join(spark.table(right_table), key)
+def bucketed_join(spark: SparkSession, left_table: str, right_table: str, key: str | Sequence[str]) -> DataFrame:
+    """Join of two tables bucketed alike on the key, or on key and salt: no shuffle is planned, nor a broadcast."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return spark.table(left_table).join(spark.table(right_table).hint("merge"), keys)
 
 
 def enrich(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybank.functions.money import exact_sum, in_currency, mean
+from tallybank.functions.money import exact_sum, fit_count, in_currency, is_fit, mean
 from tallybank.functions.skew import plain_key
 from tallybank.session import use_checkpoints
 
@@ -246,7 +246,7 @@ def day_number(column: str = "event_date") -> Column:
 def daily_amounts(df: DataFrame) -> DataFrame:
     """Sum and count of amounts per account and day: at most one row per day, also for a hot account."""
     return df.groupBy("account_id", "event_date").agg(
-        exact_sum("amount").alias("_amount"), F.count("amount").alias("_amounts")
+        exact_sum("amount").alias("_amount"), fit_count("amount").alias("_amounts")
     )
 
 
@@ -280,39 +280,41 @@ def daily_running_balance(df: DataFrame) -> DataFrame:
     )
 
 
-def amount_spike(df: DataFrame, days: int = 7, factor: float = 3.0) -> DataFrame:
+def amount_spike(df: DataFrame, days: int = 7, factor: float = 3.0, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Flag amounts above `factor` times the average of the account's earlier rows of the last `days` days.
 
     Earlier means an earlier second; the first row of a window has no average and is not flagged.
+
+    Days are totalled first. The rows then meet once, by account and day, with what the days before hold. Rows of
+    a day with more than `piece_rows` of them are first counted per second, so that no task holds them all.
     """
+    use_checkpoints(df.sparkSession)
     rows = df.select("transaction_id", "account_id", "event_date", "event_ts", "amount").withColumns(
-        {**plain_key("account_id"), "_day": known(day_number()), "_second": known(epoch_second())}
-    )
-    day = ["_key", "_no_key", "_day"]
-    moment = [*day, "_second"]
-    moments = rows.groupBy(*moment).agg(exact_sum("amount").alias("_amount"), F.count("amount").alias("_amounts"))
-    earlier_today = Window.partitionBy(*day).orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
-    today = moments.select(
-        *moment,
-        F.sum("_amount").over(earlier_today).alias("_today_amount"),
-        F.sum("_amounts").over(earlier_today).alias("_today_amounts"),
+        {**plain_key("account_id"), "_date": known(day_number()), "_second": known(epoch_second())}
     )
-    days_before = Window.partitionBy("_key", "_no_key").orderBy("_day").rangeBetween(-(days - 1), -1)
-    # From the rows again: a day's total is small map-side, which costs less than reading the moments twice.
-    daily = rows.groupBy(*day).agg(exact_sum("amount").alias("_amount"), F.count("amount").alias("_amounts"))
-    past = daily.select(
-        *day,
+    sums = [exact_sum("amount").alias("_amount"), fit_count("amount").alias("_amounts")]
+    totals = rows.groupBy(*DAY).agg(*sums, F.count(F.lit(1)).alias("_rows")).checkpoint()
+    days_before = Window.partitionBy(*DAY[:2]).orderBy("_date").rangeBetween(-(days - 1), -1)
+    past = totals.select(
+        *DAY,
         F.sum("_amount").over(days_before).alias("_past_amount"),
         F.sum("_amounts").over(days_before).alias("_past_amounts"),
     )
+    busy = totals.filter(F.col("_rows") > piece_rows).select(*DAY)
+    if busy.isEmpty():
+        found = _earlier_today(rows)
+    else:
+        calm = _earlier_today(rows.join(busy, DAY, "left_anti"))
+        found = calm.unionByName(_earlier_seconds(rows.join(busy, DAY, "left_semi"), sums))
     zero = F.lit(0)
-    baseline = today.join(past, day).select(
-        *moment,
-        (F.coalesce("_today_amount", zero) + F.coalesce("_past_amount", zero)).alias("_total"),
-        (F.coalesce("_today_amounts", zero) + F.coalesce("_past_amounts", zero)).alias("_count"),
+    joined = found.join(past, DAY).withColumns(
+        {
+            "_total": F.coalesce("_today_amount", zero) + F.coalesce("_past_amount", zero),
+            "_count": F.coalesce("_today_amounts", zero) + F.coalesce("_past_amounts", zero),
+        }
     )
     average = mean("_total", "_count")
-    return rows.join(baseline, moment).select(
+    return joined.select(
         "transaction_id",
         "account_id",
         "event_ts",
@@ -320,3 +322,30 @@ def amount_spike(df: DataFrame, days: int = 7, factor: float = 3.0) -> DataFrame
         average.alias("baseline_avg"),
         F.coalesce(F.col("amount") > factor * average, F.lit(False)).alias("is_spike"),
     )
+
+
+def _earlier_today(rows: DataFrame) -> DataFrame:
+    """Each row with the total and number of the amounts of earlier seconds of its day."""
+    earlier = Window.partitionBy(*DAY).orderBy("_second").rangeBetween(Window.unboundedPreceding, -1)
+    return rows.withColumns(
+        {
+            "_today_amount": exact_sum("amount", earlier),
+            "_today_amounts": F.sum(F.when(is_fit("amount"), 1).otherwise(0)).over(earlier),
+        }
+    )
+
+
+def _earlier_seconds(rows: DataFrame, sums: Sequence[Column]) -> DataFrame:
+    """The same from totals per second: a day has at most 86,400 of them, however many rows."""
+    moment = [*DAY, "_second"]
+    earlier = Window.partitionBy(*DAY).orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        rows.groupBy(*moment)
+        .agg(*sums)
+        .select(
+            *moment,
+            F.sum("_amount").over(earlier).alias("_today_amount"),
+            F.sum("_amounts").over(earlier).alias("_today_amounts"),
+        )
+    )
+    return rows.join(before, moment)

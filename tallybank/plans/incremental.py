@@ -70,6 +70,8 @@ def incremental_load(
     else:
         since = watermark - dt.timedelta(days=lookback)
     new = read_range(spark, src, since, run_date, undated=True)
+    if new.isEmpty():
+        return None
 
     seen = Observation()
     loaded = dedup_latest(new, DEDUP_KEYS).observe(seen, F.max("event_date").alias("last_date"))
@@ -92,9 +94,12 @@ def reprocess_window(
     dst: str,
     run_date: dt.date | str,
     lookback: int = LOOKBACK_DAYS,
+    location: str | None = None,
 ) -> list[dt.date]:
     """Recompute daily customer spend for [run_date - lookback, run_date] in the partitioned table `dst`.
 
+    The first run creates the table, below `location` if given, else in the warehouse.
+
     Partitions of the window are replaced, those left without rows are dropped, and others are not
     touched. Returns the dates that have rows.
     """
@@ -113,7 +118,8 @@ def reprocess_window(
         with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
             by_day(spend).write.mode("overwrite").insertInto(dst)
     else:
-        by_day(spend).write.partitionBy("event_date").saveAsTable(dst)
+        writer = by_day(spend).write.partitionBy("event_date")
+        (writer.option("path", location) if location else writer).saveAsTable(dst)
 
     filled = [day for day in days if seen.get[day.isoformat()]]
     for day in sorted(set(days) - set(filled)):

@@ -74,12 +74,14 @@ def run_pipeline(spark: SparkSession, bank: Bank, cfg: PipelineConfig) -> DataFr
         raw = in_range(raw, cfg.start or dt.date.min, cfg.end or dt.date.max, undated=True)
 
     # One pass: valid and rejected rows land in different partitions, so later steps read only theirs.
-    read, kept, checked = Observation(), Observation(), Observation()
-    unique = counted(dedup_latest(counted(raw, read)), kept)
+    kept, checked = Observation(), Observation()
+    # For stored files the count comes from their footers.
+    rows_in = raw.count()
+    unique = counted(dedup_latest(raw), kept)
     judged = unique.withColumn("outcome", F.when(is_valid(rules), VALID).otherwise(REJECTED))
     judged = judged.observe(checked, F.count_if(F.col("outcome") == VALID).alias("valid"))
     ms = elapsed_ms(lambda: write_partitioned(judged, staged, ["outcome"]))
-    stages.append(("dedup", read.get["rows"], kept.get["rows"], ms))
+    stages.append(("dedup", rows_in, kept.get["rows"], ms))
 
     outcomes = spark.read.schema(judged.schema).parquet(staged)
     rejected = with_reasons(outcomes.filter(F.col("outcome") == REJECTED).drop("outcome"), rules)

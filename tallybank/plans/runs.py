@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tallybank.operators import layout
+from tallybank.functions.skew import hot_keys, salt_big, salt_counts, salt_small
+from tallybank.operators import analytics, layout
+from tallybank.operators.joins import bucketed_join
 from tallybank.plans.catalog import portable, tier_changes, tier_history
 from tallybank.plans.history import apply_feed, create_history, read_history, read_outcomes
-from tallybank.plans.incremental import by_day, incremental_load
-from tallybank.plans.jobs import PipelineConfig, run_pipeline
+from tallybank.plans.incremental import by_day, incremental_load, reprocess_window
+from tallybank.plans.jobs import SYNTHETIC_NAMES, PipelineConfig, run_etl, run_pipeline
+from tallybank.plans.quality_job import QUARANTINE, VALID, read_metrics, read_outcome, run_quality
 from tallybank.session import scratch_path, use_utc
-from tallybank.sinks.tables import write_partitioned
-from tallybank.sources.files import read_table
+from tallybank.sinks.tables import write_bucketed, write_partitioned, write_table
+from tallybank.sources.conform import conform
+from tallybank.sources.files import read_csv, read_range, read_table, split_corrupt
 from tallybank.views import Bank
 
 # Parameters of the registered runs.
 OWNERS = 8
 FEEDS_MEET = "2023-12-15"
+RANGE = ("2024-01-05", "2024-01-11")
+LATE_RUN = "2024-01-15"
+WITHDRAWN = "2024-01-13"
+BUCKET_KEYS = ("account_id", "_salt")
+FILE_ROWS = 100
 
 JobRun = Callable[[SparkSession, Bank], DataFrame]
 
@@ -102,6 +113,130 @@ def scd2_rejected(spark: SparkSession, bank: Bank) -> DataFrame:
     return read_outcomes(spark, applied_history(spark, bank)).filter("outcome <> 'applied'")
 
 
+def late_data_run(spark: SparkSession, bank: Bank) -> DataFrame:
+    """Daily spend as of a first arrival, and its last days recomputed after late rows came and one day was withdrawn."""
+    arrived, later = scratch_path(spark, "arrived"), scratch_path(spark, "later")
+    write_partitioned(by_day(bank.transaction.filter(F.col("ingest_date") <= LATE_RUN)), arrived)
+    write_partitioned(by_day(bank.transaction.filter(F.col("event_date") != WITHDRAWN)), later)
+    table, location = f"daily_spend_{uuid.uuid4().hex}", scratch_path(spark, "daily-spend")
+    oldest, newest = days_of(spark, arrived)
+    reprocess_window(spark, arrived, bank.account, table, newest, (newest - oldest).days, location)
+    for _ in range(2):
+        reprocess_window(spark, later, bank.account, table, LATE_RUN)
+    return spark.table(table)
+
+
+def quality_run(spark: SparkSession, bank: Bank) -> str:
+    """The quality job over the whole table, run twice."""
+    out = scratch_path(spark, "quality")
+    for _ in range(2):
+        run_quality(spark, bank.transaction, out, LATE_RUN)
+    return out
+
+
+def partition_pruned_scan(spark: SparkSession, bank: Bank) -> DataFrame:
+    """Totals of a range of days from the table stored by day: only these days' folders are opened."""
+    kept = read_range(spark, stored_transactions(spark, bank), *RANGE)
+    return analytics.totals_by(kept, ["event_date"])
+
+
+def pruned_join(spark: SparkSession, bank: Bank) -> DataFrame:
+    """Totals of the days on which much arrived late; the days come from a join, which prunes the scan as it runs."""
+    table = read_table(spark, stored_transactions(spark, bank))
+    late = F.count_if(F.datediff("ingest_date", "event_date") >= 3) * 4 > F.count(F.lit(1))
+    days = write_table(bank.transaction.groupBy("event_date").agg(late.alias("many_late")), scratch_path(spark, "days"), "day")
+    return pruned_by_days(table, read_table(spark, days).filter("many_late"))
+
+
+def pruned_by_days(table: DataFrame, days: DataFrame) -> DataFrame:
+    return analytics.totals_by(table.join(days.select("event_date"), "event_date"), ["event_date"])
+
+
+def bucketed_tables(spark: SparkSession, bank: Bank) -> tuple[str, str]:
+    """Transactions and accounts in buckets of account and salt; hot accounts have several salts."""
+    salts = salt_counts(hot_keys(bank.transaction, "account_id"), "account_id")
+    facts = salt_big(bank.transaction.select("transaction_id", "account_id", "event_date", "amount"), salts, "account_id")
+    accounts = salt_small(bank.account.select("account_id", "account_type"), salts, "account_id")
+    names = []
+    for kind, frame in (("transaction", facts), ("account", accounts)):
+        names.append(f"bucketed_{kind}_{uuid.uuid4().hex}")
+        write_bucketed(frame, names[-1], col=BUCKET_KEYS, location=scratch_path(spark, f"bucketed-{kind}"))
+    return names[0], names[1]
+
+
+def bucketed_run(spark: SparkSession, bank: Bank) -> DataFrame:
+    return bucketed_join(spark, *bucketed_tables(spark, bank), BUCKET_KEYS).drop("_salt")
+
+
+def delimited_accounts(spark: SparkSession, bank: Bank, bad: Column) -> str:
+    """The account table as delimited files with a header; rows where `bad` holds have a letter in the id."""
+    path = f"{scratch_path(spark, 'delimited')}/account.csv"
+    canonical = conform(bank.account, "account")
+    ids = F.when(bad, F.concat(F.lit("x"), F.col("account_id"))).otherwise(F.col("account_id").cast("string"))
+    canonical.withColumn("account_id", ids).write.option("header", True).csv(path)
+    return path
+
+
+def csv_strict_run(spark: SparkSession, bank: Bank) -> DataFrame:
+    """A delimited file read strictly: every row is as declared, or the job ends."""
+    return read_csv(spark, delimited_accounts(spark, bank, F.lit(False)), "account")
+
+
+def csv_corrupt_run(spark: SparkSession, bank: Bank) -> DataFrame:
+    """A delimited file with damaged rows: good rows, and the ids that the text of bad ones starts with."""
+    path = delimited_accounts(spark, bank, F.col("account_id") % 10 == 3)
+    good, bad = split_corrupt(read_csv(spark, path, "account", mode="PERMISSIVE"))
+    first = F.substring_index("_corrupt_record", ",", 1).alias("raw_id")
+    return good.select("account_id", "balance", F.lit(None).cast("string").alias("raw_id")).unionByName(
+        bad.select(first), allowMissingColumns=True
+    )
+
+
+def etl_run(spark: SparkSession, bank: Bank) -> tuple[DataFrame, str]:
+    """The five-entity job over the stored tables; its report and the folder it wrote."""
+    source, target = scratch_path(spark, "synthetic"), scratch_path(spark, "etl")
+    for name in set(SYNTHETIC_NAMES.values()):
+        write_table(getattr(bank, name), source, name)
+    return run_etl(spark, source, target, run_date=LATE_RUN), target
+
+
+def etl_report(spark: SparkSession, bank: Bank) -> DataFrame:
+    """Entities, tables and rows, counted during the writes."""
+    return etl_run(spark, bank)[0].drop("duration_ms")
+
+
+def etl_audited(spark: SparkSession, bank: Bank) -> DataFrame:
+    """Rows per table and audit date, of all five tables that the job wrote."""
+    target = etl_run(spark, bank)[1]
+    stamps = {"transaction": F.to_date("processed_timestamp"), **dict.fromkeys(("customer", "account", "product", "branch"), F.col("ingest_date"))}
+    frames = [
+        read_table(spark, f"{target}/{entity}_table").groupBy(stamp.alias("stamped")).agg(F.count(F.lit(1)).alias("row_count"))
+        .withColumn("entity", F.lit(entity))
+        for entity, stamp in stamps.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def capped_files(spark: SparkSession, bank: Bank) -> DataFrame:
+    """Days stored with at most so many rows in a file: rows of each day, and whether any file has more."""
+    path = scratch_path(spark, "capped")
+    write_partitioned(by_day(bank.transaction), path, max_records=FILE_ROWS)
+    in_file = read_table(spark, path).groupBy("event_date", "_metadata.file_path").agg(F.count(F.lit(1)).alias("rows"))
+    return in_file.groupBy("event_date").agg(
+        F.sum("rows").alias("txn_count"), (F.max("rows") <= FILE_ROWS).alias("within_cap")
+    )
+
+
+def quarantine_run(spark: SparkSession, bank: Bank) -> DataFrame:
+    """What the end-to-end job rejects, of a table in which every seventh id is missing."""
+    output = scratch_path(spark, "end-to-end")
+    missing = F.expr("case when transaction_id % 7 = 0 then null else transaction_id end")
+    damaged = Bank(lambda table: getattr(bank, table).withColumn("transaction_id", missing) if table == "transaction" else getattr(bank, table))
+    run_pipeline(spark, damaged, PipelineConfig(output))
+    reasons = F.array_join("rejection_reasons", ",").alias("reasons")
+    return read_table(spark, f"{output}/quarantine").groupBy(reasons).agg(F.count(F.lit(1)).alias("txn_count"))
+
+
 RUNS: dict[str, JobRun] = {
     "end_to_end_run": end_to_end_run,
     "incremental_load_run": incremental_load_run,
@@ -110,6 +245,19 @@ RUNS: dict[str, JobRun] = {
     "consistent_hash_run": consistent_hash_run,
     "scd2_upsert_run": scd2_upsert_run,
     "scd2_rejected": scd2_rejected,
+    "late_data_run": late_data_run,
+    "quality_run_valid": lambda spark, bank: read_outcome(spark, quality_run(spark, bank), VALID),
+    "quality_run_quarantine": lambda spark, bank: read_outcome(spark, quality_run(spark, bank), QUARANTINE),
+    "quality_run_metrics": lambda spark, bank: read_metrics(spark, quality_run(spark, bank)),
+    "partition_pruned_scan": partition_pruned_scan,
+    "pruned_join": pruned_join,
+    "bucketed_join": bucketed_run,
+    "csv_strict_run": csv_strict_run,
+    "csv_corrupt_run": csv_corrupt_run,
+    "etl_report": etl_report,
+    "etl_audited": etl_audited,
+    "capped_files": capped_files,
+    "quarantine_run": quarantine_run,
 }
 
 

@@ -178,3 +178,19 @@ def sql_twin(spark: SparkSession, name: str, bank: Bank) -> DataFrame:
     text = SQL_TWINS[name]
     tables = {table: getattr(bank, table) for table in ("transaction", "account") if f"{{{table}}}" in text}
     return spark.sql(text, **tables)
+
+
+def plan_nodes(df: DataFrame) -> Counter[str]:
+    """How often each operator occurs in the optimized plan."""
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    names = (line.lstrip(" :+-").split(" ")[0].split("(")[0] for line in text.splitlines())
+    return Counter(name for name in names if name)
+
+
+def compare_plans(left: DataFrame, right: DataFrame) -> tuple[bool, dict[str, tuple[int, int]]]:
+    """Whether two queries have the same optimized plan, names and order of equal parts aside, and the operators
+    that occur a different number of times in them."""
+    plans = [df._jdf.queryExecution().optimizedPlan().canonicalized() for df in (left, right)]
+    nodes = [plan_nodes(df) for df in (left, right)]
+    differ = {n: (nodes[0][n], nodes[1][n]) for n in sorted(nodes[0] | nodes[1]) if nodes[0][n] != nodes[1][n]}
+    return plans[0].equals(plans[1]), differ

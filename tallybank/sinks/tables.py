@@ -32,19 +32,25 @@ def overwrite_partitions(df: DataFrame, path: str, cols: Sequence[str] = ("event
 
 
 def write_bucketed(
-    df: DataFrame, name: str, n: int = 16, col: str | Sequence[str] = "account_id", files_per_bucket: int = 8
+    df: DataFrame,
+    name: str,
+    n: int = 16,
+    col: str | Sequence[str] = "account_id",
+    files_per_bucket: int = 8,
+    location: str | None = None,
 ) -> None:
     """Replace a catalog table with n buckets, sorted inside, for joins without a shuffle.
 
     Each bucket is written by `files_per_bucket` tasks, so the bucket of a hot key is not left to one.
     A join reads a bucket in one task; where a key is too hot for that, bucket both sides on the key
-    and a salt (functions.skew).
+    and a salt (functions.skew). The files lie below `location` if given, else in the warehouse.
     """
     cols = [col] if isinstance(col, str) else list(col)
     bucket = F.pmod(F.hash(*cols), F.lit(n))
     part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket)).cast("int")
     placed = df.repartitionById(n * files_per_bucket, bucket * files_per_bucket + part)
-    placed.write.mode("overwrite").bucketBy(n, *cols).sortBy(*cols).saveAsTable(name)
+    writer = placed.write.mode("overwrite").bucketBy(n, *cols).sortBy(*cols)
+    (writer.option("path", location) if location else writer).saveAsTable(name)
 
 
 def jdbc_credentials() -> dict[str, str]:
