@@ -1,6 +1,5 @@
-select customer_id, email, phone, risk_tier as customer_risk,
-       strftime(effective_start, '%Y-%m-%d') as effective_start,
-       strftime(effective_end, '%Y-%m-%d') as effective_end, is_current,
-       trim(first_name) || ' ' || trim(last_name) as full_name,
-       cast(length(trim(first_name) || ' ' || trim(last_name)) as int) as name_length
+select customer_id, email, risk_tier, strftime(effective_start, '%Y-%m-%d') as valid_from,
+       strftime(effective_end, '%Y-%m-%d') as valid_to, is_current, version,
+       upper(trim(last_name)) || ', ' || trim(first_name) as sort_name,
+       cast(effective_end - effective_start as int) as days_open
 from bank_customer_scd2

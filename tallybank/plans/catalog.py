@@ -22,11 +22,11 @@ CONFIG = {
     "transformations": {
         "customer": {
             "add_columns": [
-                {"name": "full_name", "expr": "concat(trim(first_name), ' ', trim(last_name))"},
-                {"name": "name_length", "expr": "length(full_name)"},
+                {"name": "sort_name", "expr": "concat(upper(trim(last_name)), ', ', trim(first_name))"},
+                {"name": "days_open", "expr": "datediff(effective_end, effective_start)"},
             ],
-            "rename_columns": {"risk_tier": "customer_risk"},
-            "drop_columns": ["version", "first_name", "last_name"],
+            "rename_columns": {"effective_start": "valid_from", "effective_end": "valid_to"},
+            "drop_columns": ["phone", "first_name", "last_name"],
         }
     }
 }
@@ -141,7 +141,7 @@ def dq_non_finite(bank: Bank) -> DataFrame:
 
 def duplicate_free_ids(bank: Bank) -> DataFrame:
     """dropDuplicates keeps any copy, so only the surviving ids are defined."""
-    return dedup.dedup_any(bank.transaction.select("transaction_id"))
+    return dedup.dedup_any(bank.transaction).select("transaction_id")
 
 
 def amount_spike(bank: Bank) -> DataFrame:

@@ -56,9 +56,20 @@ def local_dir(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"tallybank-{application}-")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's folder below the shared one."""
+    return f"{shared_dir(spark)}/tallybank-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path in the application's folder."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all that this application wrote to `scratch_path`; results that still read it end."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def use_checkpoints(spark: SparkSession) -> None:

@@ -165,3 +165,14 @@ def test_key_profile_counts_once(bank):
 def test_spikes_of_busy_days(spark, bank, piece_rows):
     plain = windows.amount_spike(bank.transaction)
     same_rows(windows.amount_spike(bank.transaction, piece_rows=piece_rows), plain)
+
+
+def test_an_application_owns_one_scratch_folder(spark, monkeypatch, tmp_path):
+    from tallybank import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"file://{tmp_path}")
+    paths = [session.scratch_path(spark, "a") for _ in range(2)]
+    spark.range(3).write.parquet(paths[0])
+    assert len(set(paths)) == 2 and (tmp_path / f"tallybank-{spark.sparkContext.applicationId}").is_dir()
+    session.clear_scratch(spark)
+    assert not list(tmp_path.iterdir())
