@@ -30,10 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybank.llm.components import components
+from tallybank.llm.rows import fresh_names, with_row_keys
 from tallybank.llm.stored import remove, stored
 from tallybank.llm.words import blocks, hash_words, mix, windows
 
@@ -340,20 +341,26 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """One row of each group of linked documents: the one whose id names the group. Null ids and empty texts stay.
+    """One row of each group of linked rows: the one with the smallest doc_id. Null ids and empty texts stay.
 
-    Of rows with the same id, one stays; only such rows are compared with each other.
+    Rows are judged by their own texts: of rows with the same id only those go whose own text is linked to that of a row
+    that stays. Of rows with the same id and text that are linked to nothing smaller, the first by all columns stays.
     """
-    joined, _ = stored(join(docs).select("doc_id", "component_id"), "shingle-groups")
-    linked = joined.filter("doc_id <> component_id").select(F.col("doc_id").alias("linked_id")).distinct()
+    key, linked_key, place = fresh_names(docs, "row_key", "linked_key", "row_place")
+    keyed, unique = with_row_keys(docs, key)
+    keyed = keyed if unique else stored(keyed, "shingle-rows")[0]
+    given = keyed.select(F.col(key).alias("doc_id"), "text")
+    joined, _ = stored(join(given if unique else given.dropDuplicates(["doc_id"])), "shingle-groups")
+    linked = joined.filter("doc_id <> component_id").select(F.col("doc_id").alias(linked_key)).distinct()
     listed = F.broadcast(linked) if linked.count() <= SHORT_LIST else linked
-    kept = docs.join(listed, F.col("doc_id").cast("long") == F.col("linked_id"), "left_anti")
-    twice = joined.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    again = [row["doc_id"] for row in twice.limit(1).collect()]
-    if not again:
-        return kept
-    named, unnamed = kept.filter("doc_id is not null"), kept.filter("doc_id is null")
-    return named.dropDuplicates(["doc_id"]).union(unnamed)
+    kept = keyed.join(listed, F.col(key) == F.col(linked_key), "left_anti")
+    if not unique:
+        shingled = joined.filter("n_shingles > 0").select(F.col("doc_id").alias(linked_key)).distinct()
+        has_words = F.col(key) == F.col(linked_key)
+        first = Window.partitionBy(key).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in docs.columns])
+        once = kept.join(shingled, has_words, "left_semi").withColumn(place, F.row_number().over(first))
+        kept = once.filter(F.col(place) == 1).drop(place).unionByName(kept.join(shingled, has_words, "left_anti"))
+    return kept.drop(key)
 
 
 def small_pairs(repeated: DataFrame) -> DataFrame:

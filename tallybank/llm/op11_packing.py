@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybank.llm.byte_ids import ByteEncoder
+from tallybank.llm.rows import fresh_names
 from tallybank.llm.stored import remove, stored
 from tallybank.llm.words import text_bytes
 
@@ -295,8 +296,7 @@ def pack_level(items: DataFrame, shards: int, capacity: int) -> DataFrame:
 def pack(cut: DataFrame, capacity: int = CAPACITY, shard_size: int = SHARD) -> DataFrame:
     """All columns of `cut` (with `length`, 1 to capacity), `sequence_id` and `offset`; columns of these names are replaced."""
     cut = cut.drop("sequence_id", "offset")
-    key = _new_name("item", cut.columns)
-    other = _new_name("placed", [*cut.columns, key])
+    key, other = fresh_names(cut, "item", "placed")
     rows, _ = stored(cut.withColumn(key, F.monotonically_increasing_id()), "packing-pieces")
     items = rows.filter(F.col("length") < capacity).select(F.col(key).alias("item"), F.col("length").cast("long"))
     placed, level = None, 0
@@ -321,9 +321,3 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, shard_size: int = SHARD) -> D
     short = rows.filter(F.col("length") < capacity).join(placed.withColumnRenamed("item", other), F.col(key) == F.col(other))
     return out.unionByName(short.select(*cut.columns, "sequence_id", "offset"))
 
-
-def _new_name(name: str, taken: list[str]) -> str:
-    lower = {c.lower() for c in taken}
-    while name in lower:
-        name += "_"
-    return name

@@ -160,8 +160,8 @@ def fit(x: np.ndarray, y: np.ndarray, kept_back: np.ndarray, hidden: int = 32, e
     """Adam on the logistic loss; rows of `kept_back` fit the temperature only."""
     draw = np.random.default_rng(11)
     net = Network(
-        x.mean(axis=0),
-        x.std(axis=0) + 1e-6,
+        x.mean(axis=0) if len(x) else np.zeros(x.shape[1]),
+        x.std(axis=0) + 1e-6 if len(x) else np.ones(x.shape[1]),
         [
             draw.normal(0, (2 / x.shape[1]) ** 0.5, (x.shape[1], hidden)),
             np.zeros(hidden),
@@ -170,11 +170,12 @@ def fit(x: np.ndarray, y: np.ndarray, kept_back: np.ndarray, hidden: int = 32, e
         ],
     )
     share = y.mean() if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         net.layers[2][:] = 0
         net.layers[3][0] = np.log((share + 1e-6) / (1 - share + 1e-6))
         return net
-    learn = np.flatnonzero(~kept_back) if 0 < y[~kept_back].mean() < 1 else np.arange(len(y))
+    both_kinds = len(np.unique(y[~kept_back])) == 2
+    learn = np.flatnonzero(~kept_back) if both_kinds else np.arange(len(y))
     z, moments, step = (x - net.mean) / net.scale, [[np.zeros_like(w) for w in net.layers] for _ in "mv"], 0
     for _ in range(epochs):
         order = draw.permutation(learn)

@@ -48,6 +48,7 @@ class Pieces:
         self.atoms = Known(lambda atom: b"".join(self.search(atom)), MOST_SEGMENTS)
         table = {i: piece.replace(SIGN, " ").encode() for piece, i in ids.items()}
         self.bytes_of = table | {i: bytes([b]) for b, i in enumerate(byte_ids)}
+        self.changed: set[str] = set()
 
     @staticmethod
     @cache
@@ -85,9 +86,18 @@ class Pieces:
         """Give the memory of remembered ids back, at the end of a task."""
         for known in (self.known, self.atoms, self.follows):
             known.forget()
+        self.changed.clear()
 
     def _segment(self, text: str) -> bytes:
-        """Ids of one segment, cut where no piece has the two characters next to each other."""
+        """Ids of one segment. A segment whose ids do not decode to it is noted in `changed`."""
+        ids = self._ids(text)
+        pieces = np.frombuffer(ids, "<u4").tolist()
+        if b"".join(map(self.bytes_of.__getitem__, pieces)) != text.replace(SIGN, " ").encode():
+            self.changed.add(text)
+        return ids
+
+    def _ids(self, text: str) -> bytes:
+        """Cut where no piece has the two characters next to each other."""
         cuts = [k for k in range(1, len(text)) if text[k - 1 : k + 1] not in self.inside]
         if not cuts:
             return self.atoms[text]
@@ -157,6 +167,17 @@ class Pieces:
         signed = SIGN + text.replace(" ", SIGN)
         return np.frombuffer(b"".join(map(self.known.__getitem__, self.segments.findall(signed))), "<u4")
 
+    def encode_checked(self, text: str) -> tuple[np.ndarray, bool]:
+        """Ids, and whether they decode to the text: known per segment, so that no id is decoded again.
+
+        The sign in front comes back as a space, which decoding takes away; a sign in the text comes back as a space.
+        """
+        if not text:
+            return np.zeros(0, np.uint32), True
+        segments = self.segments.findall(SIGN + text.replace(" ", SIGN))
+        ids = np.frombuffer(b"".join(map(self.known.__getitem__, segments)), "<u4")
+        return ids, SIGN not in text and (not self.changed or self.changed.isdisjoint(segments))
+
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode(errors="replace")
         return text[1:] if text.startswith(" ") else text
@@ -174,15 +195,15 @@ def encode(docs: DataFrame, model: str, keep: list[str]) -> DataFrame:
             data, at = text_bytes(batch["text"])
             for row in range(0, batch.num_rows, 256):
                 texts = [data[a:b].tobytes() for a, b in zip(at[row : row + 256], at[row + 1 : row + 257], strict=False)]
-                ids = [pieces.encode(text.decode()) for text in texts]
+                found = [pieces.encode_checked(text.decode()) for text in texts]
+                ids = [i for i, _ in found]
                 offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 flat = pa.array(np.concatenate(ids).astype(np.int32))
-                same = [pieces.decode(i.tolist()).encode() == text for i, text in zip(ids, texts, strict=True)]
                 yield pa.record_batch(
                     {name: batch[name].slice(row, len(ids)) for name in keep}
                     | {
                         "piece_ids": pa.ListArray.from_arrays(pa.array(offsets), flat),
-                        "round_trip": pa.array(same, pa.bool_()),
+                        "round_trip": pa.array([same for _, same in found], pa.bool_()),
                     }
                 )
         pieces.forget()

@@ -20,6 +20,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybank.llm.rows import fresh_names
 from tallybank.llm.stored import stored
 
 WEIGHTS = (3, 1, 2)
@@ -130,13 +131,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     `docs` is read twice. Rows meet their decision again by id, text and source; equal rows are numbered, as any of them
     can stand for another.
     """
-    marked = docs.withColumn("mix_row", F.xxhash64("text", "source"))
-    numbered = Window.partitionBy("mix_id", "mix_row").orderBy(F.lit(0))
-    rows = marked.withColumn("mix_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
-    rows = rows.withColumn("mix_number", F.row_number().over(numbered))
+    row, id_, number, turn, copies = fresh_names(docs, "mix_row", "mix_id", "mix_number", "mix_turn", "mix_copies")
+    numbered = Window.partitionBy(id_, row).orderBy(F.lit(0))
+    rows = docs.withColumns({row: F.xxhash64("text", "source"), id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))})
+    rows = rows.withColumn(number, F.row_number().over(numbered))
     chosen = mix(docs).filter("copies > 0").select(
-        F.coalesce("doc_id", F.lit(-1)).alias("mix_id"), "mix_row", "copies"
+        F.coalesce("doc_id", F.lit(-1)).alias(id_), F.col("mix_row").alias(row), F.col("copies").alias(copies)
     )
-    chosen = chosen.withColumn("mix_number", F.row_number().over(numbered))
-    found = rows.join(chosen, ["mix_id", "mix_row", "mix_number"])
-    return found.withColumn("mix_turn", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*docs.columns)
+    chosen = chosen.withColumn(number, F.row_number().over(numbered))
+    found = rows.join(chosen, [id_, row, number])
+    return found.withColumn(turn, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*docs.columns)

@@ -22,10 +22,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybank.llm.stored import stored
+from tallybank.llm.stored import remove, stored
 
 LONGEST = 5
 MOST_LETTERS = 40
@@ -84,17 +84,14 @@ def count_words(docs: DataFrame) -> DataFrame:
 def grams_of(words: DataFrame, kept: list[str], sizes: list[int]) -> DataFrame:
     """`kept` columns and each n-gram of the word with a space at either end."""
     padded = words.select(*kept, F.concat(F.lit(" "), "word", F.lit(" ")).alias("padded"))
-    found = [
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length("padded") - size + 1, F.lit(1))),
-            lambda at, size=size: F.substr("padded", at, F.lit(size)),
-        )
-        for size in sizes
-    ]
-    grams = padded.select(*kept, F.posexplode(F.array(*found)).alias("place", "grams"))
-    sized = grams.withColumn("size", F.element_at(F.array(*map(F.lit, sizes)), F.col("place") + 1))
-    # A word that is shorter than the length gives one shorter run, which counts with its own length only.
-    return sized.select(*kept, "size", F.explode("grams").alias("gram")).filter(F.length("gram") == F.col("size"))
+    length = F.length("padded")
+
+    def runs(size: int) -> Column:
+        at_each = F.transform(F.sequence(F.lit(1), length - size + 1), lambda at: F.substr("padded", at, F.lit(size)))
+        return F.when(length >= size, at_each).otherwise(F.array().cast("array<string>"))
+
+    grams = padded.select(*kept, F.explode(F.flatten(F.array(*map(runs, sizes)))).alias("gram"))
+    return grams.select(*kept, F.length("gram").alias("size"), "gram")
 
 
 def count_grams(counted: DataFrame) -> DataFrame:
@@ -134,12 +131,13 @@ def learn(counted: DataFrame, words: int = WORDS) -> Model:
         return Model([], np.zeros((LONGEST + 1, 0)), {}, np.zeros((0, 0), np.float32))
     languages = sorted(totals)
     known, _ = stored(by_key(counted, "word", languages), "language-known")
-    gram_counts, _ = stored(count_grams(counted), "language-gram-counts")
+    gram_counts, gram_path = stored(count_grams(counted), "language-gram-counts")
     grams, _ = stored(by_key(gram_counts, "gram", languages).drop("total"), "language-grams")
     sums = np.zeros((LONGEST + 1, len(languages)))
     sums[0] = [totals[lang] for lang in languages]
     for row in gram_counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect():
         sums[row["size"], languages.index(row["lang"])] = row["n"]
+    remove(counted.sparkSession, [gram_path])
     shared = most_frequent(known, min(words, SHARED_NUMBERS // len(languages))).toArrow()
     adds, entries = np.zeros((shared.num_rows, len(languages)), np.float32), shared["entries"].combine_chunks()
     rows = np.repeat(np.arange(shared.num_rows), np.diff(entries.offsets.to_numpy()))
@@ -194,6 +192,30 @@ def look_up(words: DataFrame, model: Model) -> DataFrame:
     return found[0].union(found[1]).union(found[2])
 
 
+def add_parts(parts: pa.ListArray, total: np.ndarray, votes: np.ndarray) -> None:
+    """Add what each row's looked-up words give: to `total` by language, and their numbers to `votes` by size.
+
+    All lists are read as flat arrays, in the order of the rows and of their parts.
+    """
+    if not len(parts.flatten()):
+        return
+    row = np.repeat(np.arange(len(parts)), np.diff(filled_offsets(parts)))
+    each = parts.flatten()
+    n, size, entries = each.field("n").to_numpy(), each.field("size").to_numpy(), each.field("entries")
+    votes += np.bincount(row * votes.shape[1] + size, n, votes.size).reshape(votes.shape)
+    count = np.diff(filled_offsets(entries))
+    entry = entries.flatten()
+    place = np.repeat(row, count) * total.shape[1] + entry.field("lang").to_numpy()
+    weight = np.repeat(n, count) * entry.field("add").to_numpy()
+    total += np.bincount(place, weight, total.size).reshape(total.shape)
+
+
+def filled_offsets(lists: pa.ListArray) -> np.ndarray:
+    """Offsets into the flattened lists, where null lists have no values."""
+    sizes = lists.value_lengths().fill_null(0).to_numpy()
+    return np.append(0, np.cumsum(sizes))
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of each whole text."""
     if not model.languages:
@@ -207,30 +229,23 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     joined = first.drop("rest", "times").join(parts.select("row", slim), "row", "left")
     languages, half = model.languages, model.half
 
-    def judge(n: int, shared: int, sums: np.ndarray, parts: list[dict]) -> tuple[str, float]:
-        if not n:
-            return "und", 0.0
-        total, votes = sums.copy(), np.zeros(len(half))
-        votes[0] = shared
-        for part in parts:
-            votes[part["size"]] += part["n"]
-            for entry in part["entries"]:
-                total[entry["lang"]] += part["n"] * entry["add"]
-        total += votes @ half
-        best = int(np.argmax(total))
-        return languages[best], float(1 / np.exp((total - total[best]) / n**0.5).sum())
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, shared, parts = (batch[c].to_pylist() for c in ("n_words", "shared", "parts"))
-            sums = (batch["sums"][i].values.to_numpy() for i in range(batch.num_rows))
-            found = [judge(*x[:3], x[3] or []) for x in zip(n, shared, sums, parts, strict=True)]
-            langs, scores = zip(*found, strict=True) if found else ((), ())
+            n = batch["n_words"].to_numpy().astype(float)
+            total = batch["sums"].flatten().to_numpy().reshape(-1, len(languages)).copy()
+            votes = np.zeros((batch.num_rows, len(half)))
+            votes[:, 0] = batch["shared"].to_numpy()
+            add_parts(batch["parts"], total, votes)
+            total += votes @ half
+            best = total.argmax(axis=1)
+            apart = (total - total[np.arange(len(total)), best][:, None]) / np.maximum(n, 1)[:, None] ** 0.5
+            words = n > 0
+            langs = np.where(words, np.array(languages, object)[best], "und")
             yield pa.record_batch(
                 {
                     "doc_id": batch["doc_id"],
                     "lang_pred": pa.array(langs, pa.string()),
-                    "score": pa.array(scores, pa.float64()),
+                    "score": pa.array(np.where(words, 1 / np.exp(apart).sum(axis=1), 0.0)),
                 }
             )
 

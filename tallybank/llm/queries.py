@@ -25,7 +25,7 @@ from tallybank.llm import (
     op13_manifest,
     folds,
 )
-from tallybank.llm.stored import short_batches, stored
+from tallybank.llm.stored import remove, short_batches, stored
 from tallybank.session import scratch_path
 
 SQL = Path(__file__).parent / "sql"
@@ -66,8 +66,10 @@ def op5_quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    counted, _ = stored(op9_language.count_words(docs.filter(folds.fold("doc_id", 4) != 2)), "language-words")
-    predicted = op9_language.predict(docs, op9_language.learn(counted))
+    counted, path = stored(op9_language.count_words(docs.filter(folds.fold("doc_id", 4) != 2)), "language-words")
+    model = op9_language.learn(counted)
+    remove(spark, [path])
+    predicted = op9_language.predict(docs, model)
     return predicted.select("doc_id", (folds.fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
