@@ -341,10 +341,10 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """One row of each group of linked rows: the one with the smallest doc_id. Null ids and empty texts stay.
+    """One row of each group of linked rows: the one with the smallest doc_id. Null ids and texts without words stay.
 
     Rows are judged by their own texts: of rows with the same id only those go whose own text is linked to that of a row
-    that stays. Of rows with the same id and text that are linked to nothing smaller, the first by all columns stays.
+    that stays. Of rows with the same id and the same text, the first by all columns stays.
     """
     key, linked_key, place = fresh_names(docs, "row_key", "linked_key", "row_place")
     keyed, unique = with_row_keys(docs, key)
@@ -355,11 +355,9 @@ def without_copies(docs: DataFrame) -> DataFrame:
     listed = F.broadcast(linked) if linked.count() <= SHORT_LIST else linked
     kept = keyed.join(listed, F.col(key) == F.col(linked_key), "left_anti")
     if not unique:
-        shingled = joined.filter("n_shingles > 0").select(F.col("doc_id").alias(linked_key)).distinct()
-        has_words = F.col(key) == F.col(linked_key)
         first = Window.partitionBy(key).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in docs.columns])
-        once = kept.join(shingled, has_words, "left_semi").withColumn(place, F.row_number().over(first))
-        kept = once.filter(F.col(place) == 1).drop(place).unionByName(kept.join(shingled, has_words, "left_anti"))
+        once = kept.filter(F.col(key).isNotNull()).withColumn(place, F.row_number().over(first))
+        kept = once.filter(F.col(place) == 1).drop(place).unionByName(kept.filter(F.col(key).isNull()))
     return kept.drop(key)
 
 

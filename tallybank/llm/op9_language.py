@@ -30,7 +30,6 @@ from tallybank.llm.stored import remove, stored
 LONGEST = 5
 MOST_LETTERS = 40
 WORDS, SHARED_NUMBERS = 100_000, 8_000_000
-SHORT = 2
 _WORD = regex.compile(r"\p{L}{1,%d}" % MOST_LETTERS)
 _FLUSH = 200_000
 
@@ -173,23 +172,29 @@ def sum_shared(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def look_up(words: DataFrame, model: Model) -> DataFrame:
-    """(word, size, entries) of distinct words: size 0 for a known one, else that of its longest known n-grams."""
+    """(word, size, entries) of distinct words: size 0 for a known one, else that of its longest known n-grams.
+
+    Lengths are tried from the longest on, so a word meets the shorter n-grams, which very many words have, only if it
+    has no longer one that is known.
+    """
+    spark = words.sparkSession
     looked, _ = stored(words.join(model.words.select("word", "entries"), "word", "left"), "language-looked")
-    known = looked.filter("entries is not null").select("word", F.lit(0).alias("size"), "entries")
-    unseen = looked.filter("entries is null").select("word")
-    found = [known]
-    # Short n-grams are in very many words; only words without longer ones get there.
-    for sizes in (range(SHORT + 1, LONGEST + 1), range(1, SHORT + 1)):
-        matched = grams_of(unseen, ["word"], list(sizes)).join(model.grams, "gram")
-        by_size = matched.groupBy("word", "size").agg(
+    found = looked.filter("entries is not null").select("word", F.lit(0).alias("size"), "entries")
+    unseen, path = looked.filter("entries is null").select("word"), None
+    for size in range(LONGEST, 0, -1):
+        matched = grams_of(unseen, ["word"], [size]).join(model.grams, "gram")
+        summed = matched.groupBy("word").agg(
             F.count("*").alias("n"), F.sort_array(F.flatten(F.collect_list("entries"))).alias("all")
         )
-        longest = by_size.groupBy("word").agg(F.max(F.struct("size", "n", "all")).alias("m"))
-        mean = F.transform("m.all", lambda e: F.struct(e["lang"].alias("lang"), (e["add"] / F.col("m.n")).alias("add")))
-        placed, _ = stored(longest.select("word", F.col("m.size").alias("size"), mean.alias("entries")), "language-unseen")
-        found.append(placed)
-        unseen = unseen.join(placed.select("word"), "word", "left_anti")
-    return found[0].union(found[1]).union(found[2])
+        mean = F.transform("all", lambda e: F.struct(e["lang"].alias("lang"), (e["add"] / F.col("n")).alias("add")))
+        placed, _ = stored(summed.select("word", F.lit(size).alias("size"), mean.alias("entries")), "language-unseen")
+        found = found.union(placed)
+        rest, rest_path = stored(unseen.join(placed.select("word"), "word", "left_anti"), "language-rest")
+        remove(spark, [path] if path else [])
+        unseen, path = rest, rest_path
+        if unseen.isEmpty():
+            break
+    return found
 
 
 def add_parts(parts: pa.ListArray, total: np.ndarray, votes: np.ndarray) -> None:

@@ -29,7 +29,7 @@ def with_row_keys(docs: DataFrame, key: str) -> tuple[DataFrame, bool]:
     if ids.groupBy("id").count().filter("count > 1").isEmpty():
         return docs.withColumn(key, F.col("doc_id").cast("long")), True
     (hashed,) = fresh_names(docs, "text_hash")
-    marked = docs.withColumn(hashed, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    marked = docs.withColumn(hashed, F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit("null")))
     different = marked.select(F.col("doc_id").cast("long").alias("id"), F.col(hashed).alias("hash"))
     different = different.filter("id is not null").distinct().withColumn("all", F.lit(0))
     numbers = ranked(different, ["all"], [F.col("id"), F.col("hash")], "row-keys")

@@ -23,10 +23,10 @@ def docs_of(spark, *rows):
 
 def test_rows_with_one_id_are_judged_by_their_texts(spark):
     a, b, c, d, e = sentences(21, 5, size=60)
-    docs = docs_of(spark, (1, a, "x"), (2, b, "x"), (2, a, "x"), (3, c, "x"), (3, d, "x"), (4, e, "z"), (4, e, "y"), (5, None, "x"), (5, None, "x"), (None, a, "x"))
+    docs = docs_of(spark, (1, a, "x"), (2, b, "x"), (2, a, "x"), (3, c, "x"), (3, d, "x"), (4, e, "z"), (4, e, "y"), (5, None, "x"), (5, None, "x"), (5, "", "x"), (None, a, "x"))
     kept = sorted(((r.doc_id, r.text, r.source) for r in op10_ngram_join.without_copies(docs).collect()), key=repr)
     assert kept == sorted(
-        [(1, a, "x"), (2, b, "x"), (3, c, "x"), (3, d, "x"), (4, e, "y"), (5, None, "x"), (5, None, "x"), (None, a, "x")], key=repr
+        [(1, a, "x"), (2, b, "x"), (3, c, "x"), (3, d, "x"), (4, e, "y"), (5, None, "x"), (5, "", "x"), (None, a, "x")], key=repr
     )
 
 
