@@ -151,6 +151,15 @@ def stream_dedup_state(spark: SparkSession, base: str) -> DataFrame:
     return through_parquet(spark, unique).select("transaction_id")
 
 
+def stream_progress(spark: SparkSession, base: str) -> DataFrame:
+    """Rows that each micro-batch of the hourly totals read, and whether any came too late, from the stream's own report."""
+    totals, folder = ops.hourly_totals(transaction_stream(spark, base)), scratch_path(spark, "progress")
+    query = sinks.start_parquet(totals, f"{folder}/out", f"{folder}/checkpoint", once=True)
+    finish(query)
+    report = sinks.progress_frame(spark, query).filter("input_rows > 0")
+    return report.select("batch_id", "input_rows", (F.col("dropped_late_rows") > 0).alias("had_late_rows"))
+
+
 def routed(spark: SparkSession, base: str) -> str:
     folder = scratch_path(spark, "routed")
     stream = transaction_stream(spark, base)
@@ -180,6 +189,7 @@ STREAMS: dict[str, StreamRun] = {
     "stream_dedup_unbounded": stream_dedup_unbounded,
     "stream_dedup_state": stream_dedup_state,
     "stream_late_rows": stream_late_rows,
+    "stream_progress": stream_progress,
     "stream_quality_valid": stream_quality_valid,
     "stream_quality_summary": stream_quality_summary,
     "stream_dashboard": stream_dashboard,
