@@ -171,6 +171,12 @@ def sum_shared(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def added(entries: str, lang: Column) -> Column:
+    """What all entries of a language add."""
+    of_lang = F.filter(entries, lambda e: e["lang"] == lang)
+    return F.aggregate(of_lang, F.lit(0.0), lambda total, e: total + e["add"])
+
+
 def look_up(words: DataFrame, model: Model) -> DataFrame:
     """(word, size, entries) of distinct words: size 0 for a known one, else that of its longest known n-grams.
 
@@ -186,7 +192,11 @@ def look_up(words: DataFrame, model: Model) -> DataFrame:
         summed = matched.groupBy("word").agg(
             F.count("*").alias("n"), F.sort_array(F.flatten(F.collect_list("entries"))).alias("all")
         )
-        mean = F.transform("all", lambda e: F.struct(e["lang"].alias("lang"), (e["add"] / F.col("n")).alias("add")))
+        # One entry per language; the sorted order makes the sums the same in every run.
+        mean = F.transform(
+            F.array_distinct(F.transform("all", lambda e: e["lang"])),
+            lambda lang: F.struct(lang.alias("lang"), (added("all", lang) / F.col("n")).alias("add")),
+        )
         placed, _ = stored(summed.select("word", F.lit(size).alias("size"), mean.alias("entries")), "language-unseen")
         found = found.union(placed)
         rest, rest_path = stored(unseen.join(placed.select("word"), "word", "left_anti"), "language-rest")
