@@ -20,6 +20,7 @@ import regex
 
 LONG = 100
 MOST = 250_000
+MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 #: The pattern of byte-level pre-tokenizers.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _LATIN_END = "ɐ"
@@ -108,8 +109,17 @@ class ByteEncoder:
 
     def _later(self, word: bytes) -> bytes | None:
         """A word and the space before it."""
-        if word.isalpha():
-            return self._ids(self.space + word.decode())
+        body = word.rstrip(MARKS)
+        if body.isalpha():
+            letters = body.decode()
+        else:
+            text = body.decode(errors="replace")
+            letters = body.decode("latin-1").translate(self.written) if text.isalpha() and max(text) < _LATIN_END else ""
+        if letters and len(body) == len(word):
+            return self._ids(self.space + letters)
+        if letters:
+            # Letters are one piece, and the marks after them another.
+            return self.later[body] + self.pieces[word[len(body) :].decode()]
         return self._part(b" " + word)
 
     def _ids(self, shown: str) -> bytes:
