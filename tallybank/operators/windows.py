@@ -16,7 +16,7 @@ from tallybank.functions.money import exact_sum, fit_count, in_currency, is_fit,
 from tallybank.functions.skew import plain_key
 from tallybank.session import use_checkpoints
 
-PIECE_ROWS = 1_000_000
+PIECE_ROWS = 4_000_000
 BUCKET_SECONDS = 3600
 NO_VALUE = -(1 << 62)
 DAY = ["_key", "_no_key", "_date"]
