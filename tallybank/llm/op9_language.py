@@ -239,9 +239,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     pairs = first.select("row", F.explode(F.arrays_zip("rest", "times")).alias("w"))
     rest = pairs.select("row", F.col("w.rest").alias("word"), F.col("w.times").alias("n"))
     scored = rest.join(look_up(rest.select("word").distinct(), model), "word")
-    parts = scored.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("word", "n", "size", "entries"))).alias("parts"))
-    slim = F.transform("parts", lambda p: p.dropFields("word")).alias("parts")
-    joined = first.drop("rest", "times").join(parts.select("row", slim), "row", "left")
+    # Sorted, so that sums are the same in every run; equal parts may change places.
+    parts = scored.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("n", "size", "entries"))).alias("parts"))
+    joined = first.drop("rest", "times").join(parts, "row", "left")
     languages, half = model.languages, model.half
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
