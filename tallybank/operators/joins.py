@@ -123,6 +123,8 @@ def salted_join(
 
     Without `hot_keys` every key gets n salts and `small` is copied n times. With `hot_keys`
     (`key, key_rows`, see functions.skew.hot_keys) only those keys are split, by their row count.
+    The copies are shuffled, never broadcast: the optimizer's estimate does not count them, so it would
+    send a table n times too large through the driver.
     """
     if hot_keys is not None:
         salts = salt_counts(hot_keys, key)
@@ -130,7 +132,7 @@ def salted_join(
     else:
         left = big.withColumn("_salt", F.pmod(row_hash(big.columns), F.lit(n)).cast("int"))
         right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    return left.join(right.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def bucketed_join(spark: SparkSession, left_table: str, right_table: str, key: str | Sequence[str]) -> DataFrame:

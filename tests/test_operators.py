@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallybank.functions.sizing import broadcast_if_small, estimated_bytes
 from tallybank.functions.skew import hot_keys, salt_big, salt_counts, salt_small
 from tallybank.operators import analytics, dedup, joins, quality, scd2, windows
+from tallybank.plans.tuning import plan_report
 from tests.conftest import rows, same_rows, txn
 
 SCD = (
@@ -108,6 +109,16 @@ def test_salted_join_equals_plain(spark, bank, how):
     same_rows(plain, joins.salted_join(facts, accounts, "account_id", hot_keys=hot, how=how))
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_salted_copies_are_not_broadcast(bank, hot):
+    facts = bank.transaction.select("transaction_id", "account_id", "amount")
+    accounts = bank.account.select("account_id", "account_type")
+    keys = hot_keys(facts, "account_id", min_rows=20) if hot else None
+    salted = joins.salted_join(facts, accounts, "account_id", hot_keys=keys)
+    assert plan_report(salted)["joins"].get("SortMergeJoin") == 1
+    assert plan_report(salted)["joins"].get("BroadcastHashJoin", 0) == (2 if hot else 0)  # the list of hot keys
+
+
 def test_hot_salts_split_the_hot_key(bank):
     facts = bank.transaction.select("transaction_id", "account_id")
     salts = salt_counts(hot_keys(facts, "account_id", min_rows=100), "account_id", rows_per_salt=50)
