@@ -264,6 +264,20 @@ def test_op8_finds_passages_that_repeat_within_themselves(spark):
         assert set(range(n)) | set(range(n + 50, 2 * n + 50)) <= covered[3], stretch[:20]
 
 
+@pytest.mark.parametrize("copies", [1, 2 * op8_passages.FEW])
+def test_op8_finds_passages_whose_seeds_first_occur_in_fragments(spark, copies):
+    def words(n: int, name: str) -> str:
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    parts = words(60, "p").split()
+    fragments = [" ".join(parts[a : a + 35]) for a in (0, 25)]
+    texts = [f"{words(20, f'a{k}x')} {f} {words(20, f'b{k}x')}" for k, f in enumerate(fragments * copies)]
+    first = len(texts)
+    texts += [f"{words(30, f'{c}x')} {' '.join(parts)} {words(30, f'{c}y')}" for c in "cd"]
+    found = [(r.doc_id, r.first_id, r.start_word, r.n_words) for r in op8_passages.passages(make(spark, texts)).collect()]
+    assert found == [(first + 1, first, 30, 60)]
+
+
 def test_op8_two_passages_of_one_pair_are_both_found(spark):
     cases, texts = [(60, 60), (60, 150), (60, 300), (100, 40), (100, 500), (300, 1000)], []
     for size, gap in cases:
