@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -30,6 +31,7 @@ from tallybank.llm import (
 )
 from tallybank.llm.components import components
 from tallybank.llm.queries import QUERIES, SQL, oracle_sql
+from tallybank.llm.stored import stored
 from tallybank.llm.token_ids import Known, TextEncoder
 from tests.compare import difference, oracle_connection
 from tests.conftest import SMALL
@@ -301,6 +303,61 @@ def test_op8_parts_follow_the_requests_of_a_document(spark):
     assert sorted(r.chain for r in found) == list(range(len(ids))) and {len(r.words) for r in found} == {3, 2}
 
 
+def test_op8_shuffle_files_go_when_a_table_is_written(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        files = manager.getAllFiles()
+        return {name for k in range(files.size()) if (name := files.apply(k).getName()).startswith("shuffle_")}
+
+    before = shuffled()
+    table, _ = stored(spark.range(1000).repartition(7, "id"), "freed")
+    until = time.time() + 20
+    while (left := shuffled() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and table.count() == 1000
+
+
+def test_op8_seeds_of_a_block_are_those_of_its_texts():
+    draw = np.random.default_rng(1)
+    for _ in range(300):
+        bounds = np.append(0, np.cumsum(draw.integers(0, 14, draw.integers(1, 6))))
+        hashes = words.mix(draw.integers(0, draw.integers(1, 9), bounds[-1]).astype(np.uint64))
+        seeds, text, at = op8_passages.seeds_of_block(hashes, bounds)
+        for t in range(len(bounds) - 1):
+            wanted = op8_passages.seeds_of(hashes[bounds[t] : bounds[t + 1]])
+            assert np.array_equal(seeds[text == t], wanted[0]) and np.array_equal(at[text == t], wanted[1])
+
+
+def test_op8_matches_in_one_chain_are_told_at_once():
+    draw, seen = np.random.default_rng(3), 0
+    for _ in range(2_000):
+        x = np.sort(draw.integers(0, draw.integers(5, 400), draw.integers(2, 12)))
+        y = x + 7 if draw.random() < 0.6 else np.sort(draw.integers(0, 400, len(x)))
+        if op8_passages.is_one_chain(x, y):
+            seen += 1
+            chains = op8_passages.best_chains(x, y)
+            assert len(chains) == 1 and np.array_equal(chains[0], np.arange(len(x)))
+    assert seen > 300
+
+
+def test_op8_single_matches_that_are_passed_over_give_no_passage():
+    draw, passed, n = np.random.default_rng(4), 0, 2 * op8_passages.MARGIN + op8_passages.SEED
+    for _ in range(400):
+        one = draw.integers(0, 30_000, n).astype(np.int16)
+        two = np.where(draw.random(n) < draw.choice([0.05, 0.2, 0.9]), draw.integers(0, 30_000, n), one).astype(np.int16)
+        at = np.array([draw.integers(0, n - op8_passages.SEED)])
+        two[at[0] : at[0] + op8_passages.SEED] = one[at[0] : at[0] + op8_passages.SEED]
+        low, high = max(0, at[0] - op8_passages.MARGIN), at[0] + op8_passages.SEED + op8_passages.MARGIN
+        a, b = one[low:high], two[low:high]
+        bounds, lows, rows = np.array([0, len(b), len(a) + len(b)]), np.array([low, low]), np.array([0])
+        kept = op8_passages.promising(np.append(b, a), bounds, np.append(at, at), np.arange(3), lows, rows)
+        found = op8_passages.align(at - low, at - low, a, b)
+        assert kept[0] or not found
+        passed += not kept[0]
+    assert passed > 50
+
+
 def test_op8_best_chain_is_as_good_as_brute_force():
     draw = np.random.default_rng(2)
     for _ in range(30):
