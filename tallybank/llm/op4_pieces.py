@@ -17,8 +17,10 @@ Null and empty texts have no pieces and decode to an empty text. Columns other t
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +43,14 @@ class Pieces:
         self.follows = Known(self._follows, MOST_PAIRS)
         whole = (piece for piece in ids if not merged or self.merge(piece) == [piece])
         self.usable = {piece: (ids[piece], scores[piece]) for piece in whole}
+        self.whole_ids = {piece: id_ for piece, (id_, _) in self.usable.items()}
+        self.endings = {piece[k:] for piece in self.usable for k in range(len(piece))} if merged else set()
+        self.characters = {piece for piece in scores if len(piece) == 1}
         self.inside = {piece[k : k + 2] for piece in scores for k in range(len(piece) - 1)}
         crossed = any(pair[0] != SIGN and pair[1] == SIGN for pair in self.inside)
         self.segments = re.compile(r"(?s).+" if crossed else f"{SIGN}+[^{SIGN}]*|[^{SIGN}]+")
         self.known = Known(self._segment, MOST_SEGMENTS)
-        self.atoms = Known(lambda atom: b"".join(self.search(atom)), MOST_SEGMENTS)
+        self.atoms = Known(self._atom, MOST_SEGMENTS)
         table = {i: piece.replace(SIGN, " ").encode() for piece, i in ids.items()}
         self.bytes_of = table | {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.changed: set[str] = set()
@@ -83,8 +88,8 @@ class Pieces:
         return self.merge(first + second) == [first, second]
 
     def forget(self) -> None:
-        """Give the memory of remembered ids back, at the end of a task."""
-        for known in (self.known, self.atoms, self.follows):
+        """Give the memory of remembered ids back, at the end of a task. Pairs of pieces are those of any text, so they stay."""
+        for known in (self.known, self.atoms):
             known.forget()
         self.changed.clear()
 
@@ -98,11 +103,42 @@ class Pieces:
 
     def _ids(self, text: str) -> bytes:
         """Cut where no piece has the two characters next to each other."""
-        cuts = [k for k in range(1, len(text)) if text[k - 1 : k + 1] not in self.inside]
+        inside = self.inside
+        cuts = [k for k, pair in enumerate(map(add, text, text[1:]), 1) if pair not in inside]
         if not cuts:
             return self.atoms[text]
         return b"".join([self.atoms[text[a:b]] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)])
 
+    def _atom(self, text: str) -> bytes:
+        if self.merged and len(text) <= 4 * self.longest and self.characters.issuperset(text):
+            return self._short(text)
+        return b"".join(self.search(text))
+
+    def _short(self, text: str) -> bytes:
+        """As `_run` in a BPE model, for a text that ends before its first commit. Every boundary has one way, so the order in
+        which ways are tried does not matter: after the last piece with one more character, from the shortest piece on, as
+        long as a piece can end so."""
+        piece_at, follows, endings = self.whole_ids.get, self.follows, self.endings
+        begins, lasts = [0], [-1]
+        for end in range(1, len(text) + 1):
+            begin = begins[-1]
+            id_ = piece_at(text[begin:end])
+            if id_ is None or ((last := lasts[begin]) >= 0 and not follows[last << 32 | id_]):
+                id_, begin = -1, end - 1
+                while begin >= 0 and (part := text[begin:end]) in endings:
+                    found = piece_at(part)
+                    if found is not None and ((last := lasts[begin]) < 0 or follows[last << 32 | found]):
+                        id_ = found
+                        break
+                    begin -= 1
+            begins.append(begin)
+            lasts.append(id_)
+        found, end = [], len(text)
+        while end > 0:
+            found.append(lasts[end])
+            end = begins[end]
+        return array("I", found[::-1]).tobytes()
+
     def search(self, text: str) -> Iterator[bytes]:
         """Ids of one segment, packed, as they are committed."""
         run = 0

@@ -219,6 +219,19 @@ def test_op7_targets_and_copies(spark, awkward):
         assert abs(mine - source.target) <= 40
 
 
+def test_op4_short_texts_are_searched_to_the_same_ids_and_pairs_stay_known():
+    pieces, draw = op4_pieces.Pieces.of(PIECE), random.Random(12)
+    letters = sorted(pieces.characters)
+    known = "".join(c for c in "▁etaoinshrdluéèçàäöü,.0123" if c in pieces.characters)
+    for _ in range(3_000):
+        source = known if draw.random() < 0.8 else letters
+        text = "".join(draw.choice(source) for _ in range(draw.randint(1, 4 * pieces.longest)))
+        assert pieces._short(text) == b"".join(pieces.search(text)), text
+    pairs = len(pieces.follows)
+    pieces.forget()
+    assert not pieces.known and not pieces.atoms and len(pieces.follows) == pairs > 0
+
+
 def test_op8_exact_and_fuzzy_passages(spark, awkward):
     a, b, c, d, passage = (t for t in sentences(9, 5, size=120))
     fuzzy = passage.split()
