@@ -154,7 +154,7 @@ def write_sequences(
             for row in range(0, len(ids), 256):
                 parts = [data[a:b].tobytes() for a, b in zip(at[row : row + 256], at[row + 1 : row + 257], strict=False)]
                 writer.add(ids[row : row + 256], [encoder.encode(part, end_id) for part in parts])
-        encoder.forget()
+        # The tables of remembered words are bounded: the next task of this worker goes on with them.
         if writer is not None:
             n_ids, n_docs = writer.close()
             yield pa.record_batch({"file": [number], "n_ids": [n_ids], "n_docs": [n_docs]})
