@@ -12,6 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -33,6 +34,7 @@ from tallybank.llm.components import components
 from tallybank.llm.queries import QUERIES, SQL, oracle_sql
 from tallybank.llm.stored import stored
 from tallybank.llm.token_ids import Known, TextEncoder
+from tallybank.session import session_conf
 from tests.compare import difference, oracle_connection
 from tests.conftest import SMALL
 
@@ -371,6 +373,45 @@ def test_op8_single_matches_that_are_passed_over_give_no_passage():
     assert passed > 50
 
 
+def test_op8_chance_matches_end_before_texts_are_looked_up(spark):
+    draw, shared = np.random.default_rng(5), [f"s{k}" for k in range(7)]
+    rows = [[f"w{k}" for k in draw.integers(0, 1 << 30, 60)] for _ in range(200)]
+    texts = [" ".join([*row[:30], *shared, *row[30:]]) for row in rows] + [" ".join(rows[3])] * 2
+    matches = op8_passages.first_matches(op8_passages.seed_table(make(spark, texts))).filter("doc <> first")
+    pairs = matches.select("doc", "first").distinct()
+    chains = op8_passages.chain_matches(matches).select("doc", "first").distinct().collect()
+    assert pairs.count() == 202 and {(r.doc, r.first) for r in chains} >= {(200, 3), (201, 3)} and len(chains) < 15
+
+
+def test_op8_words_beside_a_seed_never_tell_of_too_short_a_reach():
+    draw, known = np.random.default_rng(6), 0
+    n, seed, beside = 2 * op8_passages.MARGIN, op8_passages.SEED, op8_passages.BESIDE
+    for _ in range(3000):
+        one = draw.integers(0, 1 << 63, 2 * n + seed).astype(np.uint64)
+        two = np.where(draw.random(len(one)) < draw.choice([0.1, 0.4, 0.7, 0.9]), one, draw.integers(0, 1 << 63, len(one)).astype(np.uint64))
+        near = [op8_passages.beside(x, np.array([n])) for x in (one, two)]
+        same = int(op8_passages.equal_beside(*near)[0])
+        most = op8_passages.AFTER[same & 255], op8_passages.BEFORE[same >> beside]
+        a, b = ((x >> np.uint64(48)).astype(np.uint16) for x in (one, two))
+        ahead = op8_passages.extension(a[n + seed :][:64], b[n + seed :][:64])[0]
+        behind = op8_passages.extension(a[:n][::-1][:64], b[:n][::-1][:64])[0]
+        assert ahead <= most[0] and behind <= most[1]
+        known += sum(most) < 10
+    assert known > 500
+
+
+def test_op8_matches_tell_how_often_their_seed_comes_again(spark):
+    few = op8_passages.FEW
+    sizes = [1, 2, 3, few, few + 1, few + 2, few + 3, 3 * few, 500]
+    seeds = [(doc, seed, 0, 0) for seed, size in enumerate(sizes) for doc in range(size)]
+    table = spark.createDataFrame(seeds, "doc long, seed long, near long, pos int")
+    for batch in ("1", "7", "34", "10000"):
+        with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": batch}):
+            found = op8_passages.first_matches(table).select("doc", "n", "first", F.col("near").isNotNull().alias("kept")).collect()
+        wanted = [(doc, min(size - 1, few + 1), 0, 2 <= size - 1 <= few) for size in sizes for doc in range(1, size)]
+        assert sorted(tuple(r) for r in found) == sorted(wanted)
+
+
 def test_op8_best_chain_is_as_good_as_brute_force():
     draw = np.random.default_rng(2)
     for _ in range(30):
