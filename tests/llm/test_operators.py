@@ -373,6 +373,16 @@ def test_op8_single_matches_that_are_passed_over_give_no_passage():
     assert passed > 50
 
 
+def test_op8_long_runs_hash_as_word_by_word():
+    draw = np.random.default_rng(7)
+    for n in (3, 49, 50, 1000, words.RUN - 50, words.RUN, 2 * words.RUN + 7):
+        hashes, size = draw.integers(0, 1 << 63, n).astype(np.uint64), op8_passages.LEAST_WORDS
+        plain = np.zeros(max(n - size + 1, 0), np.uint64)
+        for k in range(size):
+            plain = plain * words._FACTOR + hashes[k : k + len(plain)]
+        assert np.array_equal(words.windows(hashes, size), words.mix(plain))
+
+
 def test_op8_chance_matches_end_before_texts_are_looked_up(spark):
     draw, shared = np.random.default_rng(5), [f"s{k}" for k in range(7)]
     rows = [[f"w{k}" for k in draw.integers(0, 1 << 30, 60)] for _ in range(200)]
