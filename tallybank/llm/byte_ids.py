@@ -19,7 +19,7 @@ from functools import cache
 import regex
 
 LONG = 100
-MOST = 250_000
+MOST, MOST_LATER = 250_000, 1_000_000
 MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 #: The pattern of byte-level pre-tokenizers.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -30,11 +30,11 @@ _CUT = re.compile(rb"(?<=[^\s]) (?=[^ ])")
 
 
 class Parts(dict):
-    """Remembers what `make` returned for a short key; beyond MOST keys, only those that are used again."""
+    """Remembers what `make` returned for a short key; beyond `most` keys, only those that are used again."""
 
-    def __init__(self, make: Callable[[bytes | str], bytes | None]):
+    def __init__(self, make: Callable[[bytes | str], bytes | None], most: int = MOST):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
         self.old: dict = {}
 
     def forget(self) -> None:
@@ -44,7 +44,7 @@ class Parts(dict):
     def __missing__(self, key):
         value = self.old.get(key) or self.make(key)
         if len(key) <= LONG:
-            if len(self) >= MOST:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[key] = value
@@ -81,7 +81,7 @@ class ByteEncoder:
         self.cuts = _cuts_at_spaces(spec)
         self.pieces = Parts(self._piece)
         self.first = Parts(self._part)
-        self.later = Parts(self._later)
+        self.later = Parts(self._later, MOST_LATER)
 
     def encode(self, text: bytes) -> bytes:
         """Ids of one UTF-8 text as unsigned 32-bit numbers."""
@@ -109,6 +109,8 @@ class ByteEncoder:
 
     def _later(self, word: bytes) -> bytes | None:
         """A word and the space before it."""
+        if word.isalpha():
+            return self._ids(self.space + word.decode())
         body = word.rstrip(MARKS)
         if body.isalpha():
             letters = body.decode()

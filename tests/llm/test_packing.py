@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -166,3 +167,21 @@ def test_query(spark):
     assert sequences <= 1.02 * -(-tokens // 1024) + 2
 
 
+def test_words_of_a_long_task_are_encoded_once():
+    encoder, made = ByteEncoder(TOKENIZER), []
+    encoder.tokenize = lambda shown: made.append(shown) or [SimpleNamespace(id=1)]
+    words = ["x" + "".join(chr(97 + k // 26**n % 26) for n in range(5)) for k in range(600_000)]
+    texts = [" ".join(words[a : a + 1000]).encode() for a in range(0, len(words), 1000)]
+    for text in texts:
+        encoder.encode(text)
+    once = len(made)
+    for text in texts:
+        encoder.encode(text)
+    assert 590_000 < once < 610_000 and len(made) - once <= 2 * len(texts)
+
+
+def test_letters_with_marks_have_the_librarys_ids():
+    encoder, library = ByteEncoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    text = "It's the dogs' end. ABC!? a--b x.'s _a_ don't. (word) word, Word; I'll 's '' <|endoftext|>x a<| b|> é, né. n\u0303o end"
+    for _ in range(2):
+        assert np.frombuffer(encoder.encode(text.encode()), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
