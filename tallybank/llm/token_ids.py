@@ -17,7 +17,11 @@ from functools import cache
 import numpy as np
 import regex
 
-MOST_WORDS = 250_000
+MOST_WORDS, MOST_PIECES = 750_000, 250_000
+MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
+#: A pattern that takes letters, and marks after them, as one piece each.
+LETTERS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_MARK_INSIDE = regex.compile(r"[^A-Za-z].*[A-Za-z]", regex.DOTALL)
 _LATIN_END = "ɐ"
 
 
@@ -40,7 +44,10 @@ class TextEncoder:
         self.added = [token["content"] for token in spec["added_tokens"]]
         self.bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.first_letters = {token[0] for token in self.added}
-        self.words = Known(self._word)
+        # Whether no added token can be found in ASCII letters with marks after them.
+        apart = self.pattern is not None and self.pattern.pattern == LETTERS_APART
+        self.simple = apart and all(_MARK_INSIDE.search(token) for token in self.added)
+        self.words = Known(self._word, MOST_WORDS)
         self.pieces = Known(self._piece)
         self.letters = Known(self._letter)
 
@@ -60,6 +67,14 @@ class TextEncoder:
         return _packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: bytes) -> bytes:
+        if self.simple:
+            body = word.rstrip(MARKS)
+            if body.isalpha():
+                low = body.lower()
+                if low == word:
+                    return self._piece(low.decode())
+                ids = self.words[low]
+                return ids if len(body) == len(word) else ids + self.pieces[word[len(body) :].decode()]
         text = word.decode()
         if not text.isascii() and max(text) >= _LATIN_END:
             return self._whole(text)
@@ -82,7 +97,7 @@ class TextEncoder:
 class Known(dict):
     """Remembers what `make` returned for a key; beyond `most` keys, only those that are used again."""
 
-    def __init__(self, make: Callable, most: int = MOST_WORDS):
+    def __init__(self, make: Callable, most: int = MOST_PIECES):
         super().__init__()
         self.make, self.most = make, most
         self.old: dict = {}

@@ -90,6 +90,23 @@ def test_known_keeps_what_is_used():
     assert len(known) <= 3
 
 
+def test_op1_words_with_marks_have_the_librarys_ids():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, library = TextEncoder(path), Tokenizer.from_file(path)
+    text = "It's the dogs' end. ABC!? a--b x.'s _a_ don't. (word) word, Word; I'll 's '' <|endoftext|> a<| b|> A1, é, né. n\u0303o"
+    for _ in range(2):
+        assert encoder.encode(text.encode()).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_op1_a_word_of_letters_is_remembered_once():
+    encoder, made = TextEncoder(public_tokenizers.path("word_bpe_49k.json")), []
+    piece = encoder._piece
+    encoder._piece = encoder.pieces.make = lambda part: made.append(part) or piece(part)
+    for text in (b"Word word. WORD, word", b"word; Word."):
+        encoder.encode(text)
+    assert made.count("word") == 1 and encoder.words.most >= 3 * encoder.pieces.most and "word" not in encoder.pieces
+
+
 def test_op1_ids_and_random_access(spark, awkward, tmp_path):
     folder = f"file://{tmp_path}/tokens"
     docs = awkward.filter("doc_id is not null").dropDuplicates(["doc_id"])
