@@ -32,7 +32,7 @@ from tallybank.llm import (
 )
 from tallybank.llm.components import components
 from tallybank.llm.queries import QUERIES, SQL, oracle_sql
-from tallybank.llm.stored import stored
+from tallybank.llm.stored import BATCH_BYTES, byte_count, short_batches, stored
 from tallybank.llm.token_ids import Known, TextEncoder
 from tallybank.session import session_conf
 from tests.compare import difference, oracle_connection
@@ -270,6 +270,18 @@ def test_op8_exact_and_fuzzy_passages(spark, awkward):
     assert op8_passages.passages(empty(spark)).count() == 0
 
 
+def test_whole_texts_reach_python_in_batches_bounded_by_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"bytes": pa.array([batch.nbytes], pa.int64())})
+
+    short_batches(spark)
+    texts = make(spark, ["word " * 20_000] * 120).select("text").coalesce(1)
+    found = [r.bytes for r in texts.mapInArrow(sizes, "bytes long").collect()]
+    assert sum(found) > 12_000_000 and max(found) < BATCH_BYTES + 200_000
+    assert [byte_count(x) for x in ("67108864b", "64m", "64MB", "4096")] == [1 << 26, 1 << 26, 1 << 26, 4096]
+
+
 def test_op8_finds_short_passages_with_many_changed_words(spark):
     draw, texts, wanted = random.Random(31), [], {}
     cases = [(n, edits) for n in (50, 65, 80) for edits in (0.10, 0.15, 0.20) for _ in range(20)]
