@@ -9,8 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallybank.operators import analytics, quality
+from tallybank.plans.tuning import plan_report
 from tallybank.sources.files import read_table
-from tallybank.sources.streams import land_days, land_partition, stream_rate, stream_table
+from tallybank.sources.streams import in_files, land_days, land_partition, stream_rate, stream_table
 from tallybank.streaming import operators as ops
 from tallybank.streaming import segments, sinks
 from tallybank.streaming.replays import finish
@@ -329,3 +330,12 @@ def test_rate_source(spark):
         assert spark.table(name).count() > 0
     finally:
         query.stop()
+
+
+def test_a_day_landed_as_one_file_is_not_shuffled(bank, tmp_path):
+    one, two = (in_files(bank.transaction, files) for files in (1, 2))
+    assert plan_report(one)["shuffles"] == 0 and plan_report(two)["shuffles"] == 1
+    for files, frame in ((1, one), (2, two)):
+        frame.write.parquet(f"{tmp_path}/{files}")
+        assert len(list((tmp_path / str(files)).glob("part-*"))) == files
+    same_rows(one, two)
